@@ -100,10 +100,11 @@ def decode_events(df: DataFrame) -> DataFrame:
     )
 
 
-def to_keyed_json(df: DataFrame) -> DataFrame:
+def to_keyed_json(df: DataFrame, *keep: str) -> DataFrame:
     """(key, value): the user id as text and the event as JSON.
 
-    Amounts travel as text, so no reader turns them into doubles.
+    Amounts travel as text, so no reader turns them into doubles. `keep` names
+    columns to carry beside the message, as a topic does with its timestamp.
     """
     seconds = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")
     micros = F.date_format("event_time", "SSSSSS")
@@ -117,6 +118,7 @@ def to_keyed_json(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("user_id").cast("string").alias("key"),
         F.to_json(F.struct(*fields)).alias("value"),
+        *keep,
     )
 
 
