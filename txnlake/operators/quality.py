@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.functions.rules import invalid_status, nonpositive_amount, null_key
@@ -50,6 +50,15 @@ def run_quality_gate(raw: DataFrame) -> list[Row]:
     return quality_counts(raw).collect()
 
 
+def counts_frame(spark: SparkSession, results: list[Row]) -> DataFrame:
+    """The gate's collected counts as a frame again, without a second scan."""
+    pairs = [
+        F.struct(F.lit(r.check_name).alias("check_name"), F.lit(r.offending).alias("offending"))
+        for r in results
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*pairs)))
+
+
 def require_passed(results: list[Row]) -> None:
     """Raise with every failed check named."""
     failed = [f"{r.check_name}: {r.offending} rows" for r in results if r.offending]

@@ -25,7 +25,7 @@ from txnlake.operators.mart import (
 )
 from txnlake.operators.quality import (
     check_results,
-    quality_counts,
+    counts_frame,
     require_passed,
     run_quality_gate,
 )
@@ -77,17 +77,10 @@ def seed_dim_date(spark: SparkSession, root: str, start=D.FIRST_DATE, end=D.LAST
     return added
 
 
-def _log_checks(spark: SparkSession, root: str, rows: list, run_ts: datetime) -> None:
-    counts = spark.createDataFrame(
-        [(r.check_name, r.offending) for r in rows], "check_name string, offending bigint"
-    )
-    append_rows(check_results(counts, run_ts).coalesce(1), root, "dq_check_log")
-
-
 def quality_gate(spark: SparkSession, root: str, raw: DataFrame, run_ts: datetime) -> None:
     """Check, log every result, and only then raise if any check failed."""
     results = run_quality_gate(raw)
-    _log_checks(spark, root, results, run_ts)
+    append_rows(check_results(counts_frame(spark, results), run_ts), root, "dq_check_log")
     require_passed(results)
 
 

@@ -134,16 +134,23 @@ def _checks_sql(source: str) -> str:
     )
 
 
-_BATCH_MART = (
-    _with(
-        *_LI,
-        _LI_FACT,
-        _CALENDAR,
-        "loaded AS (SELECT * FROM li_fact WHERE date_key IN (SELECT date_key FROM calendar))",
-        _latest("dim_merchant", "li_raw"),
-        _mart("mart", "loaded", "dim_merchant"),
+def _mart_at(run: int, at: str) -> str:
+    """The mart computed from what had arrived by the given time."""
+    return ",\n".join(
+        [
+            f"raw{run} AS (SELECT * FROM raw WHERE ingested_at <= TIMESTAMP '{at}')",
+            f"fact{run} AS (SELECT {_FACT_COLUMNS} FROM raw{run})",
+            _latest(f"merchant{run}", f"raw{run}"),
+            _mart(f"mart{run}", f"fact{run}", f"merchant{run}"),
+        ]
     )
-    + "SELECT * FROM mart"
+
+
+_BATCH_MART = (
+    _with(*_R, _mart_at(1, "2024-01-10"), _mart_at(2, "2024-01-20"), _mart_at(3, "2024-02-01"))
+    + """SELECT date_key, merchant_category, total_gbp, txn_count, flagged_count
+         FROM (SELECT 1 AS run, * FROM mart1 UNION ALL SELECT 2, * FROM mart2 UNION ALL SELECT 3, * FROM mart3)
+         QUALIFY row_number() OVER (PARTITION BY date_key, merchant_category ORDER BY run DESC) = 1"""
 )
 
 _RAW_SELECT = _with(*_R) + "SELECT * FROM raw"
@@ -283,5 +290,5 @@ def all_oracles() -> dict[str, str]:
         "fact_incremental": _with(*_F) + "SELECT * FROM fact",
         "batch_dim_user": _DIM_USER_SELECT,
         "batch_mart": _BATCH_MART,
-        "batch_mart_full": _BATCH_MART,
+        "batch_mart_full": _MART_SELECT,
     }

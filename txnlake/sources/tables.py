@@ -117,8 +117,15 @@ def write_version(df: DataFrame, root: str, name: str, version: int) -> None:
 
 def publish(spark: SparkSession, root: str, versions: dict[str, Version]) -> None:
     """Make versions current, all at once: one file with one row per table."""
-    rows = [(name, v.version, v.last_loaded) for name, v in versions.items()]
-    spark.createDataFrame(rows, _PUBLISHED).coalesce(1).write.mode("append").parquet(
+    rows = [
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.lit(v.version).cast("bigint").alias("version"),
+            F.lit(v.last_loaded).alias("last_loaded"),
+        )
+        for name, v in versions.items()
+    ]
+    spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows))).write.mode("append").parquet(
         f"{root}/_published"
     )
 
