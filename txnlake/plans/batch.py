@@ -8,6 +8,8 @@ that dies in between is finished by the next one from the same pending rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -64,6 +66,12 @@ class _Options:
     on_violation: str
 
 
+def _together(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark jobs side by side; the first failure is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def seed_dim_date(spark: SparkSession, root: str, start=D.FIRST_DATE, end=D.LAST_DATE) -> int:
     """Add the days that the date dimension lacks; returns how many."""
     versions = current_versions(spark, root)
@@ -105,13 +113,14 @@ def _days_and_key_bytes(rows: DataFrame, dim_date: DataFrame) -> tuple[list, int
     return [r.day for r in per_day if r.day], sum(r.bytes or 0 for r in per_day)
 
 
-def _unknown(spark: SparkSession, root: str, rows: DataFrame, dim_date: DataFrame) -> DataFrame:
+def _unknown(
+    spark: SparkSession, root: str, rows: DataFrame, days: list, key_bytes: int
+) -> DataFrame:
     """Rows whose id is in neither the fact table nor its rejects.
 
     Raw keeps one row per id, so an id that is already a fact has the same event
     day, and only the fact partitions of the rows' own days need reading.
     """
-    days, key_bytes = _days_and_key_bytes(rows, dim_date)
     fact = read_table(spark, root, FACT).where(F.col("date_key").isin(days))
     fresh = append_new(fact, rows, "transaction_id", key_bytes=key_bytes)
     return append_new(
@@ -129,8 +138,13 @@ def _stage(
     window = raw_window(raw, low, high)
     # Rows up to the watermark passed the gate before; raw rows never change.
     whole = options.refresh == "full"
-    quality_gate(spark, root, raw_window(raw, EPOCH, high) if whole else window, run_ts)
-    new = _unknown(spark, root, window, read_table(spark, root, "dim_date", versions))
+    to_check = raw_window(raw, EPOCH, high) if whole else window
+    dim_date = read_table(spark, root, "dim_date", versions)
+    _, (days, key_bytes) = _together(
+        lambda: quality_gate(spark, root, to_check, run_ts),
+        lambda: _days_and_key_bytes(window, dim_date),
+    )
+    new = _unknown(spark, root, window, days, key_bytes)
     version = versions[FACT].version + 1 if FACT in versions else 1
     write_version(new.drop("ingest_date"), root, PENDING, version)
     publish(spark, root, {PENDING: Version(version, high)})
@@ -154,8 +168,10 @@ def _finish(
     else:
         users = merge_dim_user(table("dim_user"), D.build_dim_user(new), add_counts=True)
         merchants = D.merge_latest_merchants(table("dim_merchant"), new)
-    write_version(users, root, "dim_user", version)
-    write_version(merchants, root, "dim_merchant", version)
+    _together(
+        lambda: write_version(users, root, "dim_user", version),
+        lambda: write_version(merchants, root, "dim_merchant", version),
+    )
     done = {name: Version(version, high) for name in (FACT, "dim_user", "dim_merchant")}
     written = {**versions, **done}
 
@@ -166,12 +182,12 @@ def _finish(
         "merchant_id": read_table(spark, root, "dim_merchant", written),
     }
     good, bad = split_references(facts, dims)
-    rejected = bad.count()
+    rejected, pending = _together(bad.count, new.count)
     if rejected and options.on_violation == "fail":
         raise MissingReferenceError(f"{rejected} fact rows lack a dimension row")
     if not rejected:
         good = facts
-    inserted = new.count() - rejected
+    inserted = pending - rejected
     to_write, to_reject = good, bad
     if resumed:
         # The earlier attempt may have written some of these.
@@ -179,15 +195,21 @@ def _finish(
         known = table(FACT).where(F.col("date_key").isin(days))
         to_write = append_new(known, good, "transaction_id", key_bytes=key_bytes)
         to_reject = append_new(table("fact_rejected"), bad, "transaction_id")
-    append_rows(to_write, root, FACT)
-    if rejected:
-        append_rows(to_reject, root, "fact_rejected")
+
+    def write_facts() -> None:
+        append_rows(to_write, root, FACT)
+        if rejected:
+            append_rows(to_reject, root, "fact_rejected")
+
+    def write_totals(totals: DataFrame) -> None:
+        write_version(totals, root, "merchant_day", version)
 
     if options.refresh == "full":
-        days_total = merchant_day_totals(table(FACT))
+        write_facts()
+        write_totals(merchant_day_totals(read_table(spark, root, FACT)))
     else:
-        days_total = add_merchant_days(table("merchant_day"), merchant_day_totals(good))
-    write_version(days_total, root, "merchant_day", version)
+        totals = add_merchant_days(table("merchant_day"), merchant_day_totals(good))
+        _together(write_facts, lambda: write_totals(totals))
     for name in ("merchant_day", "daily_spend_by_category"):
         done[name] = Version(version, high)
     fresh = category_totals(

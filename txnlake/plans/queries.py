@@ -47,6 +47,7 @@ def _utc(*args: int) -> datetime:
 EVENTS_CUT = _utc(2024, 1, 16)
 EVENTS_CUTS = (_utc(2024, 1, 10), _utc(2024, 1, 20), _utc(2024, 2, 1))
 LINEITEM_CUT = _utc(2026, 1, 1)
+LINEITEM_LANDED = _utc(2030, 1, 1)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -353,8 +354,13 @@ def q_mart_top(spark: SparkSession, sf: str) -> DataFrame:
 # ---- jobs over written tables ----------------------------------------------
 
 
-def _stream(spark: SparkSession, sf: str, table: str) -> str:
-    """Run the whole table through the stream once; returns the tables' root."""
+def _stream(
+    spark: SparkSession, sf: str, table: str, now: datetime | None = None
+) -> str:
+    """Run the whole table through the stream once; returns the tables' root.
+
+    Rows keep their recorded ingest time unless `now` replaces it.
+    """
     schema, to_feed = {
         "events": (EVENTS_SCHEMA, feed.transactions_from_events),
         "lineitem": (LINEITEM_SCHEMA, feed.transactions_from_lineitem),
@@ -367,7 +373,7 @@ def _stream(spark: SparkSession, sf: str, table: str) -> str:
         root,
         f"{root}/_checkpoint",
         {"availableNow": True},
-        now=F.col("ingested_at"),
+        now=now or F.col("ingested_at"),
         order=[F.col("ingested_at"), F.col("value")],
     ).awaitTermination()
     return root
@@ -379,7 +385,7 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    root = _stream(spark, sf, "lineitem")
+    root = _stream(spark, sf, "lineitem", LINEITEM_LANDED)
     return tables.read_table(spark, root, "raw_transactions").select(*RAW_COLUMNS)
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -81,12 +81,13 @@ def write_batch(
                 raw = raw.where(F.col(INGEST_DATE) >= F.lit(since.date()))
             fresh = append_new(
                 raw, good, "transaction_id", [F.col("_order")], key_bytes=seen.key_bytes
-            )
-            # A progress number: it may count a row twice if a task is run again.
-            written = Observation()
-            rows = enrich(fresh, rates, now).observe(written, F.count(F.lit(1)).alias("n"))
-            append_rows(rows, root, "raw_transactions")
-            inserted = written.get["n"]
+            ).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                inserted = fresh.count()
+                if inserted:
+                    append_rows(enrich(fresh, rates, now), root, "raw_transactions")
+            finally:
+                fresh.unpersist()
         return {"attempted": seen.attempted, "inserted": inserted, "rejected": seen.rejected}
     finally:
         checked.unpersist()
