@@ -181,8 +181,8 @@ def all_oracles() -> dict[str, str]:
              CASE WHEN r IS NULL THEN status = 'AUTHORISED' ELSE {_GBP} >= 5000 END AS is_flagged FROM checked""",
         "raw_dedup": _with(*_LI) + "SELECT * FROM li_raw",
         "raw_append": _with(_LI_FEED, _LI_ONCE) + f"SELECT {_EVENT_COLUMNS}, ingested_at FROM li_once",
-        "dim_date": _with(*_LI, _LI_FACT, _CALENDAR)
-        + "SELECT * FROM calendar WHERE date_key IN (SELECT date_key FROM li_fact)",
+        "dim_date": _with(_LI_FEED, _CALENDAR)
+        + "SELECT * FROM calendar WHERE date_key IN (SELECT CAST(event_time AS DATE) FROM li_feed)",
         "dim_date_seed": _with(_LI_FEED, _CALENDAR)
         + "SELECT CAST(event_time AS DATE) AS date_key FROM li_feed UNION SELECT date_key FROM calendar",
         "dim_user": _DIM_USER_SELECT,

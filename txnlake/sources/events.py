@@ -106,13 +106,11 @@ def to_keyed_json(df: DataFrame, *keep: str) -> DataFrame:
     Amounts travel as text, so no reader turns them into doubles. `keep` names
     columns to carry beside the message, as a topic does with its timestamp.
     """
-    seconds = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format("event_time", "SSSSSS")
-    stamp = F.concat(
-        seconds,
-        F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
-        F.lit("Z"),
-    )
+    # As text a timestamp has no fraction or a shortened one; it is sent with
+    # none or six digits.
+    text = F.col("event_time").cast("string")
+    padded = F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
+    stamp = F.concat(F.translate(padded, " ", "T"), F.lit("Z"))
     wire = {"amount": F.col("amount").cast("string"), "event_time": stamp}
     fields = [wire.get(c, F.col(c)).alias(c) for c in EVENT_COLUMNS]
     return df.select(

@@ -44,15 +44,20 @@ def write_batch(
     now: datetime | Column | None = None,
     order: list[Column] | None = None,
     horizon: timedelta | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, int]:
     """Write one batch of messages; works for streams and for one-off loads.
 
     An id already in the raw table is skipped, and of several copies in the
     batch the first by `order` stays. With `horizon` only rows ingested that
     recently are looked up, which bounds the work but lets older ids in again.
+    Decoding is the costly part: `min_partitions` spreads the messages first, for
+    sources that deliver a batch in fewer pieces than there are cores.
     """
     now = now if now is not None else datetime.now(timezone.utc)
     order = order or _arrival_order(messages.columns)
+    if min_partitions is not None:
+        messages = messages.repartition(min_partitions)
     decoded = decode_events(messages)
     checked = validate(decoded.withColumn("_order", F.struct(*order)), rates)
     checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
