@@ -107,3 +107,49 @@ def test_published_events_come_back(spark, root, source, tmp_path):
     assert line["key"] == "42" and json.loads(line["value"])["amount"].startswith("23.45")
     run(spark, source, root)
     assert stored(spark, root) == {"txn-00000001": "23.45"}
+
+
+def test_ids_remembered_in_state(spark, root, source, monkeypatch):
+    seen = []
+    send(spark, source, message(), message(transaction_id="txn-00000002"), "junk", "junk")
+    run(spark, source, root, seen, remember="state")
+    assert seen == [{"attempted": 2, "inserted": 2, "rejected": 2}]
+    assert T.read_table(spark, root, "rejected_events").count() == 2
+
+    # A batch that fails after its write is run again from the same state.
+    send(spark, source, message(amount="99.00"), message(transaction_id="txn-00000003"))
+    real = I.append_rows
+
+    def write_then_die(*args):
+        real(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(I, "append_rows", write_then_die)
+    with pytest.raises(Exception, match="lost"):
+        run(spark, source, root, remember="state")
+    monkeypatch.setattr(I, "append_rows", real)
+    run(spark, source, root, remember="state")
+    assert stored(spark, root)["txn-00000001"] == "23.45"
+    assert T.read_table(spark, root, "raw_transactions").count() == 3
+
+    # What the table no longer holds, the state still knows.
+    send(spark, source, message(transaction_id="txn-00000003"))
+    run(spark, source, f"{root}", remember="state")
+    assert T.read_table(spark, root, "raw_transactions").count() == 3
+
+
+def test_state_does_not_read_the_history(spark, root, source):
+    from datetime import datetime, timezone
+
+    long_ago = datetime(2020, 1, 1, tzinfo=timezone.utc)
+    send(spark, source, message())
+    run(spark, source, root, remember="state", now=long_ago)
+    send(spark, source, message())
+    run(spark, source, root, remember="state", now=long_ago)
+    assert T.read_table(spark, root, "raw_transactions").count() == 1
+
+
+def test_remember_is_checked(spark, root, source):
+    send(spark, source, message())
+    with pytest.raises(ValueError):
+        run(spark, source, root, remember="memory")

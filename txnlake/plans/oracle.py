@@ -278,6 +278,7 @@ def all_oracles() -> dict[str, str]:
              ORDER BY amount_gbp DESC, transaction_id LIMIT 10""",
         "mart_top": _MART_SELECT + " ORDER BY date_key DESC, total_gbp DESC, merchant_category LIMIT 10",
         "stream_ingest": _RAW_SELECT,
+        "stream_state": _RAW_SELECT,
         "stream_dedup": _with(
             _RATES,
             _LI_FEED,

@@ -362,7 +362,11 @@ def q_mart_top(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream(
-    spark: SparkSession, sf: str, table: str, now: datetime | None = None
+    spark: SparkSession,
+    sf: str,
+    table: str,
+    now: datetime | None = None,
+    remember: str = "table",
 ) -> str:
     """Run the whole table through the stream once; returns the tables' root.
 
@@ -382,6 +386,7 @@ def _stream(
         {"availableNow": True},
         now=now or F.col("ingested_at"),
         order=[F.col("ingested_at"), F.col("value")],
+        remember=remember,
         min_partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     return root
@@ -392,6 +397,12 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_table(spark, root, "raw_transactions").select(*RAW_COLUMNS)
 
 
+def q_stream_state(spark: SparkSession, sf: str) -> DataFrame:
+    """As above, with the ids seen kept in the stream's own state."""
+    root = _stream(spark, sf, "events", remember="state")
+    return tables.read_table(spark, root, "raw_transactions").select(*RAW_COLUMNS)
+
+
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     root = _stream(spark, sf, "lineitem", LINEITEM_LANDED)
     return tables.read_table(spark, root, "raw_transactions").select(*RAW_COLUMNS)

@@ -34,32 +34,22 @@ def _arrival_order(columns: list[str]) -> list[Column]:
     return [F.col(c) for c in columns if c in _ARRIVAL] or [F.col("value")]
 
 
-def write_batch(
+def _check(messages: DataFrame, rates: DataFrame | None, order: list[Column] | None) -> DataFrame:
+    """Decoded and validated messages with their place in the order of arrival."""
+    order = order or _arrival_order(messages.columns)
+    return validate(decode_events(messages).withColumn("_order", F.struct(*order)), rates)
+
+
+def _write_checked(
     spark: SparkSession,
-    messages: DataFrame,
+    checked: DataFrame,
     root: str,
     stream: str,
     batch: int,
-    rates: DataFrame | None = None,
-    now: datetime | Column | None = None,
-    order: list[Column] | None = None,
-    horizon: timedelta | None = None,
-    min_partitions: int | None = None,
+    now: datetime | Column | None,
+    horizon: timedelta | None,
 ) -> dict[str, int]:
-    """Write one batch of messages; works for streams and for one-off loads.
-
-    An id already in the raw table is skipped, and of several copies in the
-    batch the first by `order` stays. With `horizon` only rows ingested that
-    recently are looked up, which bounds the work but lets older ids in again.
-    Decoding is the costly part: `min_partitions` spreads the messages first, for
-    sources that deliver a batch in fewer pieces than there are cores.
-    """
     now = now if now is not None else datetime.now(timezone.utc)
-    order = order or _arrival_order(messages.columns)
-    if min_partitions is not None:
-        messages = messages.repartition(min_partitions)
-    decoded = decode_events(messages)
-    checked = validate(decoded.withColumn("_order", F.struct(*order)), rates)
     checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         is_good = F.size("reasons") == 0
@@ -90,7 +80,7 @@ def write_batch(
             try:
                 inserted = fresh.count()
                 if inserted:
-                    append_rows(enrich(fresh, rates, now), root, "raw_transactions")
+                    append_rows(enrich(fresh, now=now), root, "raw_transactions")
             finally:
                 fresh.unpersist()
         return {"attempted": seen.attempted, "inserted": inserted, "rejected": seen.rejected}
@@ -98,28 +88,95 @@ def write_batch(
         checked.unpersist()
 
 
+def write_batch(
+    spark: SparkSession,
+    messages: DataFrame,
+    root: str,
+    stream: str,
+    batch: int,
+    rates: DataFrame | None = None,
+    now: datetime | Column | None = None,
+    order: list[Column] | None = None,
+    horizon: timedelta | None = None,
+    min_partitions: int | None = None,
+) -> dict[str, int]:
+    """Write one batch of messages; works for streams and for one-off loads.
+
+    An id already in the raw table is skipped, and of several copies in the
+    batch the first by `order` stays. With `horizon` only rows ingested that
+    recently are looked up, which bounds the work but lets older ids in again.
+    Decoding is the costly part: `min_partitions` spreads the messages first, for
+    sources that deliver a batch in fewer pieces than there are cores.
+    """
+    if min_partitions is not None:
+        messages = messages.repartition(min_partitions)
+    checked = _check(messages, rates, order)
+    return _write_checked(spark, checked, root, stream, batch, now, horizon)
+
+
+def _drop_seen(checked: DataFrame) -> DataFrame:
+    """Let each transaction id through once, ever; rejects always pass."""
+    good = F.size("reasons") == 0
+    return (
+        checked.withColumn("_id", F.when(good, F.col("transaction_id")).otherwise(F.uuid()))
+        .dropDuplicates(["_id"])
+        .drop("_id")
+    )
+
+
 def ingest(
     stream: DataFrame,
     root: str,
     checkpoint: str,
     trigger: dict | None = None,
     on_batch: Callable[[int, dict[str, int]], None] | None = None,
-    **options,
+    remember: str = "table",
+    rates: DataFrame | None = None,
+    now: datetime | Column | None = None,
+    order: list[Column] | None = None,
+    horizon: timedelta | None = None,
+    min_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream into `root`. `options` are those of `write_batch`.
+    """Start the stream into `root`. One stream may write to a root at a time.
+
+    `remember` says where ids seen before are looked up, exactly and without an
+    age limit in both cases:
+
+    - `table`: in the raw table. Each batch reads the id column of its history,
+      without shuffling it as long as the batch is small.
+    - `state`: in the stream's state store (set RocksDB as its provider), so a
+      batch costs as much as its own ids, however long the history. It knows
+      only what this stream has seen since its checkpoint began. Of copies that
+      differ and arrive in one batch any may stay; across batches the first
+      does. The table is then read back only for `horizon` (7 days unless
+      given), the time within which a failed batch must be run again.
 
     `on_batch` gets each batch's number and its counts of attempted, inserted
-    and rejected events. To bound a batch, set the source's own limit
-    (`maxOffsetsPerTrigger`, `maxFilesPerTrigger`).
+    and rejected events; with `state`, copies of earlier ids are not among the
+    attempted. To bound a batch, set the source's own limit
+    (`maxOffsetsPerTrigger`, `maxFilesPerTrigger`). Other options are those of
+    `write_batch`.
     """
+    if remember not in ("table", "state"):
+        raise ValueError(f"remember must be 'table' or 'state', not {remember!r}")
     # The checkpoint names the stream: the same one after a restart.
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
-    def write(messages: DataFrame, batch: int) -> None:
-        counts = write_batch(messages.sparkSession, messages, root, name, batch, **options)
+    def write(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        if remember == "state":
+            counts = _write_checked(
+                spark, rows, root, name, batch, now, horizon or timedelta(days=7)
+            )
+        else:
+            counts = write_batch(
+                spark, rows, root, name, batch, rates, now, order, horizon, min_partitions
+            )
         if on_batch is not None:
             on_batch(batch, counts)
 
+    if remember == "state":
+        stream = _drop_seen(_check(stream, rates, order))
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
