@@ -20,6 +20,7 @@ from txnlake.operators.enrich import enrich
 from txnlake.operators.facts import INGEST_DATE
 from txnlake.operators.upsert import append_new
 from txnlake.operators.validate import split_valid, validate
+from txnlake.session import use_utc
 from txnlake.sources.events import decode_events
 from txnlake.sources.tables import append_rows, read_table
 
@@ -108,6 +109,7 @@ def write_batch(
     Decoding is the costly part: `min_partitions` spreads the messages first, for
     sources that deliver a batch in fewer pieces than there are cores.
     """
+    use_utc(spark)
     if min_partitions is not None:
         messages = messages.repartition(min_partitions)
     checked = _check(messages, rates, order)
@@ -115,12 +117,26 @@ def write_batch(
 
 
 def _drop_seen(checked: DataFrame) -> DataFrame:
-    """Let each transaction id through once, ever; rejects always pass."""
+    """Let each transaction id through once, ever; rejects always pass.
+
+    The first step drops copies per source partition, so an id with very many
+    copies is spread over as many tasks as sent it; it forgets after a day. The
+    second step keeps every id. The watermark follows the clock and is far
+    behind it, so it never calls a row late.
+    """
     good = F.size("reasons") == 0
     return (
-        checked.withColumn("_id", F.when(good, F.col("transaction_id")).otherwise(F.uuid()))
+        checked.withColumns(
+            {
+                "_id": F.when(good, F.col("transaction_id")).otherwise(F.uuid()),
+                "_part": F.spark_partition_id(),
+                "_at": F.current_timestamp(),
+            }
+        )
+        .withWatermark("_at", "1 day")
+        .dropDuplicatesWithinWatermark(["_id", "_part"])
         .dropDuplicates(["_id"])
-        .drop("_id")
+        .drop("_id", "_part", "_at")
     )
 
 
@@ -172,9 +188,10 @@ def ingest(
             counts = write_batch(
                 spark, rows, root, name, batch, rates, now, order, horizon, min_partitions
             )
-        if on_batch is not None:
+        if on_batch is not None and any(counts.values()):
             on_batch(batch, counts)
 
+    use_utc(stream.sparkSession)
     if remember == "state":
         stream = _drop_seen(_check(stream, rates, order))
     return (
