@@ -13,11 +13,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import duckdb  # noqa: E402
 
-from txnlake.plans.oracle import all_oracles  # noqa: E402
-from txnlake.plans.queries import all_queries  # noqa: E402
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from txnlake.session import local_session  # noqa: E402
 
-TABLES = ("events", "lineitem")
+TABLES = ("events", "lineitem", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def rows_of(columns: list[str], rows: list[tuple]) -> list[str]:
@@ -34,10 +33,10 @@ def duck_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def compare(spark, duck, sf_dir: str, name: str) -> tuple[bool, str]:
     start = time.time()
-    df = all_queries()[name](spark, sf_dir)
+    df = queries()[name](spark, sf_dir)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     took = time.time() - start
-    found = duck.sql(all_oracles()[name])
+    found = duck.sql(oracle_sql()[name])
     want = rows_of(found.columns, found.fetchall())
     note = f"{name:28} {len(got):7} rows {took:6.2f}s"
     if got == want:
@@ -51,7 +50,7 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     session = local_session(8)
     connection = duck_connection(sf)
-    for query in sys.argv[2:] or list(all_queries()):
+    for query in sys.argv[2:] or list(oracle_sql()):
         try:
             same, text = compare(session, connection, sf, query)
             print("ok  " if same else "DIFF", text, flush=True)
