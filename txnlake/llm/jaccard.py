@@ -37,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from txnlake.llm.hashing import SHINGLE_WORDS, mix, sets
-from txnlake.llm.tables import components, written
+from txnlake.llm.tables import bit_table, components, in_table, written
 
 #: Two sets link when SCALE * intersection >= percent * union.
 SCALE, PERCENT = 100, 80
 ROUNDS = 2
 #: Hashed counts behind the global order: their number, and the rows they travel in.
 COUNTS, BLOCKS = 1 << 20, 64
+#: Rows of a region up to which it may meet in one task.
+HOT_REGION = 100_000
 #: Measured pairs that one copy of a pivot's set serves.
 PAIRS_PER_COPY = 64
 
@@ -53,6 +55,15 @@ def node_of(values: np.ndarray) -> np.int64:
     return mix(np.array([mix(values).sum() + np.uint64(len(values))], np.uint64)).view(np.int64)[0]
 
 
+def slot_of(values: np.ndarray) -> np.ndarray:
+    """Place of each shingle in the table of hashed counts."""
+    return (values % np.uint64(COUNTS)).astype(np.int64)
+
+
+def counted(held: list[np.ndarray]) -> np.ndarray:
+    return np.bincount(slot_of(np.concatenate(held)), minlength=COUNTS) if held else np.zeros(COUNTS, np.int64)
+
+
 def with_nodes(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, n_shingles, node) of every row, and rows of hashed counts in block, counts."""
 
@@ -60,18 +71,22 @@ def with_nodes(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
         seen = np.zeros(COUNTS, np.int64)
         for batch in batches:
             n, node = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            held, waiting = [], 0
             for i, values in sets(batch.column("text"), size):
                 if len(values):
                     n[i], node[i] = len(values), node_of(values)
-                    seen += np.bincount((values % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS) if len(values) > COUNTS // 8 else 0
-                    if len(values) <= COUNTS // 8:
-                        seen[(values % np.uint64(COUNTS)).astype(np.int64)] += 1
+                    held.append(values)
+                    waiting += len(values)
+                if waiting > 2 * COUNTS:
+                    seen += counted(held)
+                    held, waiting = [], 0
+            seen += counted(held)
             none = pa.nulls(batch.num_rows)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "n_shingles": n, "node": pa.array(node, mask=n == 0),
                  "block": none.cast(pa.int32()), "counts": none.cast(pa.binary())}
             )
-        rows = np.minimum(seen, 255).astype(np.uint8).reshape(BLOCKS, -1)
+        rows = seen.astype(np.int32).reshape(BLOCKS, -1)
         none = pa.nulls(BLOCKS).cast(pa.int64())
         yield pa.RecordBatch.from_pydict(
             {"doc_id": none, "n_shingles": none, "node": none, "block": pa.array(range(BLOCKS), pa.int32()),
@@ -82,14 +97,14 @@ def with_nodes(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def rarity(counts: DataFrame) -> np.ndarray:
-    """Order of hashed counts, rare first: BLOCKS rows of fixed length reach the driver."""
+def hashed_counts(counts: DataFrame) -> np.ndarray:
+    """All hashed counts added up: BLOCKS rows of fixed length reach the driver."""
 
     def run(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, row in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                total[block] = total.get(block, 0) + np.frombuffer(row, np.uint8).astype(np.int64)
+                total[block] = total.get(block, 0) + np.frombuffer(row, np.int32).astype(np.int64)
         yield pa.RecordBatch.from_pydict(
             {"block": pa.array(list(total), pa.int32()), "counts": pa.array([x.tobytes() for x in total.values()], pa.binary())}
         )
@@ -97,7 +112,7 @@ def rarity(counts: DataFrame) -> np.ndarray:
     out = np.zeros((BLOCKS, COUNTS // BLOCKS), np.int64)
     for row in counts.select("block", "counts").repartition("block").mapInArrow(run, "block int, counts binary").collect():
         out[row.block] += np.frombuffer(row["counts"], np.int64)
-    return (np.log2(out.ravel() + 1) * 64).astype(np.uint16)
+    return out.ravel()
 
 
 def needed(n: F.Column, m: F.Column, percent: int) -> F.Column:
@@ -105,12 +120,16 @@ def needed(n: F.Column, m: F.Column, percent: int) -> F.Column:
     return F.ceil((n + m) * percent / (SCALE + percent))
 
 
-def members(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(pivot, node, n, place): the regions that each set is in."""
-    shared = docs.sparkSession.sparkContext.broadcast(order)
+def members(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
+    """(pivot, node, n, place, hot): the regions that each set is in.
+
+    A region is hot if its hashed count, never less than its members, is over HOT_REGION.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(((np.log2(counts + 1) * 64).astype(np.uint16), counts > HOT_REGION))
 
     def run(batches):
         done: set[int] = set()
+        order, hot = shared.value
         for batch in batches:
             out = []
             for _, values in sets(batch.column("text"), size):
@@ -118,9 +137,10 @@ def members(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> Data
                 if n == 0 or (node := int(node_of(values))) in done:
                     continue
                 done.add(node)
-                keys = (shared.value[(values % np.uint64(COUNTS)).astype(np.int64)].astype(np.uint64) << np.uint64(52)) | (values >> np.uint64(12))
-                keep = n + (-n * percent // SCALE) + 1
-                out.append((np.sort(keys)[:keep], node, n))
+                slots = slot_of(values)
+                keys = (order[slots].astype(np.uint64) << np.uint64(52)) | (values >> np.uint64(12))
+                first = np.argsort(keys)[: n + (-n * percent // SCALE) + 1]
+                out.append((keys[first], node, n, hot[slots[first]]))
             if not out:
                 continue
             lengths = [len(x[0]) for x in out]
@@ -128,16 +148,22 @@ def members(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> Data
                 {"pivot": np.concatenate([x[0] for x in out]).view(np.int64),
                  "node": np.repeat(np.array([x[1] for x in out], np.int64), lengths),
                  "n": np.repeat(np.array([x[2] for x in out], np.int32), lengths),
-                 "place": np.concatenate([np.arange(x, dtype=np.int32) for x in lengths])}
+                 "place": np.concatenate([np.arange(x, dtype=np.int32) for x in lengths]),
+                 "hot": np.concatenate([x[3] for x in out])}
             )
 
-    return docs.select("text").mapInArrow(run, "pivot long, node long, n int, place int")
+    return docs.select("text").mapInArrow(run, "pivot long, node long, n int, place int, hot boolean")
 
 
 def node_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(node, values): the set of each of the nodes, from one document that has it."""
-    wanted = ids.join(nodes, "node", "left_semi").withColumnRenamed("doc_id", "_id")
-    found = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
+    """(node, values): the set of each of the nodes, from one document that has it.
+
+    A bit table of the wanted ids keeps most texts out of the join.
+    """
+    wanted = written(ids.join(nodes, "node", "left_semi").withColumnRenamed("doc_id", "_id"), "wanted")
+    table = bit_table(wanted.select(F.coalesce("_id", F.lit(0)).alias("key")))
+    few = in_table(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", table)
+    found = few.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
 
     def run(batches):
         for batch in batches:
@@ -187,17 +213,12 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     table = written(with_nodes(docs, size), "nodes")
     rows = table.where("block is null").select("doc_id", "n_shingles", "node")
     ids = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    order = rarity(table.where("block is not null"))
+    counts = hashed_counts(table.where("block is not null"))
 
-    entries = written(members(docs, order, size, percent), "members")
-    first = F.col("place") * F.lit(1 << 33) + F.col("node").bitwiseAND((1 << 32) - 1)
-    pivots = (
-        entries.groupBy("pivot")
-        .agg(F.min("node").alias("_low"), F.max("node").alias("_high"), F.min_by("node", first).alias("lead"), F.min_by("n", first).alias("lead_n"))
-        .where("_low <> _high")
-        .select("pivot", "lead", "lead_n")
-    )
-    cells = written(entries.join(pivots, "pivot"), "cells")
+    entries = written(members(docs, counts, size, percent), "members")
+    # one shuffle serves the grouping and the join; hot regions are grouped before they are shuffled and split when joined
+    cold, hot = entries.where("not hot").drop("hot").repartition("pivot"), entries.where("hot").drop("hot")
+    cells = written(cold.join(_first_pivots(cold), "pivot").union(hot.join(written(_first_pivots(hot), "pivots"), "pivot")), "cells")
 
     near = F.least("n", "lead_n") * SCALE >= F.greatest("n", "lead_n") * percent
     done = None
@@ -224,6 +245,14 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     return _named(rows, parts)
 
 
+def _first_pivots(entries):
+    """(pivot, lead, lead_n) of regions with several sets: the member without rarer shingles of its own leads."""
+    first = F.col("place") * F.lit(1 << 33) + F.col("node").bitwiseAND((1 << 32) - 1)
+    leads = [F.min_by(c, first).alias(name) for c, name in (("node", "lead"), ("n", "lead_n"))]
+    found = entries.groupBy("pivot").agg(F.min("node").alias("_low"), F.max("node").alias("_high"), F.count("*").alias("members"), *leads)
+    return found.where("_low <> _high").drop("_low", "_high")
+
+
 def _measure(docs, pairs, ids, size, done):
     if done is not None:
         old = done.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b"))
@@ -242,28 +271,27 @@ def _links(done, percent):
 
 def _recurse(cells, done, percent, step):
     """Regions that still hold several parts, with the distances to the pivot just used and a new pivot."""
-    parts = components(_links(done, percent))
+    parts = written(components(_links(done, percent)), "joined").withColumnRenamed("component", "part")
+    cells = cells.drop("part", "lead_part").where("members > 2").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    mixed = cells.groupBy("pivot").agg(F.min("part").alias("_low"), F.max("part").alias("_high")).where("_low <> _high").select("pivot")
+    cells = written(cells.join(mixed, "pivot", "left_semi"), "mixed")
     far = done.select(F.col("a").alias("node"), F.col("b").alias("lead"), (1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("_far"))
     far = far.union(far.select(F.col("lead").alias("node"), F.col("node").alias("lead"), "_far")).groupBy("node", "lead").agg(F.min("_far").alias("_far"))
-    cells = cells.drop("part", "lead_part").join(far, ["node", "lead"], "left")
+    cells = cells.join(far, ["node", "lead"], "left")
     cells = cells.withColumn("_far", F.when(F.col("node") == F.col("lead"), 0.0).otherwise(F.col("_far")))
     cells = cells.withColumnsRenamed({"_far": f"far{step}", "lead": f"pivot{step}"}).drop("lead_n")
-    cells = cells.join(parts.withColumnsRenamed({"component": "part"}), "node", "left").withColumn("part", F.coalesce("part", "node"))
     cells = written(cells, "parts")
     turn = F.xxhash64("node", F.lit(step))
     again = (
-        cells.groupBy("pivot")
-        .agg(F.min("part").alias("_low"), F.max("part").alias("_high"), *[F.min_by(c, turn).alias(f"lead{x}") for c, x in (("node", ""), ("n", "_n"), ("part", "_part"))])
-        .where("_low <> _high")
-        .drop("_low", "_high")
+        cells.groupBy("pivot").agg(*[F.min_by(c, turn).alias(f"lead{x}") for c, x in (("node", ""), ("n", "_n"), ("part", "_part"))])
     )
-    return written(cells.join(again, "pivot"), "cells")
+    return written(cells.join(written(again, "pivots"), "pivot"), "cells")
 
 
 def _named(rows, parts):
     """Components by their smallest id; a row that links with nothing is its own."""
     of = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = of.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = written(of.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id")), "names")
     return of.join(least, "component", "left").select(
         "doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnlake.llm.hashing import mix
 from txnlake.session import scratch_dir
 
 
+#: Bits of a bit table, and the rows they travel in.
+BITS, BLOCKS = 1 << 24, 64
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -52,3 +59,49 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return nodes.join(links.select(F.col("u").alias("node"), F.col("v").alias("m")), "node", "left").select(
         "node", F.coalesce("m", "node").alias("component")
     )
+
+
+def bit_of(keys: np.ndarray) -> np.ndarray:
+    """Place of each 64-bit key in a bit table."""
+    return (mix(keys.view(np.uint64)) % np.uint64(BITS)).astype(np.int64)
+
+
+def bit_table(keys: DataFrame) -> np.ndarray:
+    """Which places of a table of BITS places the values of column key (long, not null) fall on.
+
+    Its size is fixed, so it may be broadcast whatever the number of keys: a key that
+    is there always passes, and more keys only let more others pass. BLOCKS rows
+    of fixed length reach the driver.
+    """
+    width = BITS // BLOCKS
+
+    def places(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bit": np.unique(bit_of(batch.column("key").to_numpy()))})
+
+    def fold(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            bits = batch.column("bit").to_numpy()
+            for block in np.unique(bits // width):
+                total.setdefault(int(block), np.zeros(width, np.bool_))[bits[bits // width == block] % width] = True
+        rows = [np.packbits(x).tobytes() for x in total.values()]
+        yield pa.RecordBatch.from_pydict({"block": pa.array(list(total), pa.int32()), "bits": pa.array(rows, pa.binary())})
+
+    bits = keys.select("key").mapInArrow(places, "bit long").distinct().repartition(F.floor(F.col("bit") / width))
+    table = np.zeros((BLOCKS, width), np.bool_)
+    for row in bits.mapInArrow(fold, "block int, bits binary").collect():
+        table[row.block] |= np.unpackbits(np.frombuffer(row.bits, np.uint8)).view(np.bool_)
+    return table.ravel()
+
+
+def in_table(df: DataFrame, column: str, table: np.ndarray) -> DataFrame:
+    """Rows whose long column may be among the keys of a bit table; a null counts as 0."""
+    shared = df.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column(column).fill_null(0).to_numpy()
+            yield batch.filter(pa.array(shared.value[bit_of(keys)]))
+
+    return df.mapInArrow(run, df.schema)

@@ -29,10 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.llm.hashing import BASE, LOWER, chunks, mix, running_hash, span_hash
+from txnlake.llm.tables import bit_of, bit_table
 
 WINDOW, SHORTEST, LITERALS = 13, 5, 4
-#: Bits of the filter, and the rows they travel in.
-BITS, BLOCKS = 1 << 24, 64
 UNITS = (
     "mm cm m km mg g kg t ml l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months "
     "year years inch inches foot feet yard yards mile miles ounce ounces pound pounds percent euro euros dollar dollars cent cents "
@@ -132,27 +131,6 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def key_filter(items: DataFrame) -> np.ndarray:
-    """The bit table: BLOCKS rows of fixed length reach the driver."""
-    width = BITS // BLOCKS
-
-    def run(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            bits = batch.column("bit").to_numpy()
-            for block in np.unique(bits // width):
-                total.setdefault(int(block), np.zeros(width, np.bool_))[bits[bits // width == block] % width] = True
-        yield pa.RecordBatch.from_pydict(
-            {"block": pa.array(list(total), pa.int32()), "bits": pa.array([np.packbits(x).tobytes() for x in total.values()], pa.binary())}
-        )
-
-    bits = items.select(F.pmod("key", F.lit(BITS)).cast("long").alias("bit")).distinct().repartition(F.floor(F.col("bit") / width))
-    table = np.zeros((BLOCKS, width), np.bool_)
-    for row in bits.mapInArrow(run, "block int, bits binary").collect():
-        table[row.block] |= np.unpackbits(np.frombuffer(row.bits, np.uint8)).view(np.bool_)
-    return table.ravel()
-
-
 def document_windows(docs: DataFrame, table: np.ndarray, sizes: list[int]) -> DataFrame:
     """(doc_id, place, key, slots) of the template windows that pass the bit table."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
@@ -165,7 +143,7 @@ def document_windows(docs: DataFrame, table: np.ndarray, sizes: list[int]) -> Da
                 for size in sizes:
                     for form, starts, keys in found.windows(size):
                         keys = keys.view(np.int64)
-                        for at in np.flatnonzero(shared.value[keys % BITS]):
+                        for at in np.flatnonzero(shared.value[bit_of(keys)]):
                             s = starts[at]
                             out.append((ids[first + found.row[s]], int(found.place[s]), keys[at], found.slots(form, s, size)))
             if out:
@@ -186,7 +164,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     """
     items = item_windows(benchmark, window)
     sizes = [r[0] for r in items.select("size").distinct().collect()]
-    found = document_windows(docs, key_filter(items), sorted(sizes))
+    found = document_windows(docs, bit_table(items.select("key")), sorted(sizes))
     items = items.select("item_id", F.col("place").alias("item_place"), "key", F.col("slots").alias("item_slots")).distinct()
     same = found.join(items, "key").where(pattern("slots") == pattern("item_slots"))
     places = same.groupBy("doc_id", "item_id", "item_place").agg(F.max(F.col("slots") == F.col("item_slots")).alias("verbatim"))
