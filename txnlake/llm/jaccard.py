@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlake.llm.hashing import SHINGLE_WORDS, mix, sets
@@ -120,6 +121,14 @@ def needed(n: F.Column, m: F.Column, percent: int) -> F.Column:
     return F.ceil((n + m) * percent / (SCALE + percent))
 
 
+def _may_link(n: F.Column, at_n: F.Column, m: F.Column, at_m: F.Column, percent: int) -> F.Column:
+    """Whether sets of these sizes can link if the shingles at these places are the first that they share.
+
+    A linked pair passes in the region of the first shingle that it shares.
+    """
+    return (F.least(n, m) * SCALE >= F.greatest(n, m) * percent) & (F.least(n - at_n, m - at_m) >= needed(n, m, percent))
+
+
 def members(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
     """(pivot, node, n, place, hot): the regions that each set is in.
 
@@ -216,11 +225,15 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     counts = hashed_counts(table.where("block is not null"))
 
     entries = written(members(docs, counts, size, percent), "members")
-    # one shuffle serves the grouping and the join; hot regions are grouped before they are shuffled and split when joined
-    cold, hot = entries.where("not hot").drop("hot").repartition("pivot"), entries.where("hot").drop("hot")
-    cells = written(cold.join(_first_pivots(cold), "pivot").union(hot.join(written(_first_pivots(hot), "pivots"), "pivot")), "cells")
-
-    near = F.least("n", "lead_n") * SCALE >= F.greatest("n", "lead_n") * percent
+    # cold regions meet in one sort; hot ones are grouped before they are shuffled, and split when joined
+    cold, hot = entries.where("not hot").drop("hot"), entries.where("hot").drop("hot")
+    facts = _facts(percent)
+    by_pivot = Window.partitionBy("pivot")
+    cold = cold.withColumns({name: fact.over(by_pivot) for name, fact in facts.items()}).where(_PROMISING)
+    hot = hot.join(written(hot.groupBy("pivot").agg(*[f.alias(x) for x, f in facts.items()]).where(_PROMISING), "pivots"), "pivot")
+    cells = written(cold.unionByName(hot).drop("_low", "_high", "_inner"), "cells")
+
+    near = _may_link(*[F.col(x) for x in ("n", "place", "lead_n", "lead_place")], percent)
     done = None
     for step in range(ROUNDS):
         pairs = cells.where((F.col("node") != F.col("lead")) & near)
@@ -233,8 +246,7 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     last = (
         a.join(b, "pivot")
         .where("a.node < b.node and a.part <> b.part")
-        .where(F.least("a.n", "b.n") * SCALE >= F.greatest("a.n", "b.n") * percent)
-        .where(F.least(F.expr("a.n - a.place"), F.expr("b.n - b.place")) >= needed(F.col("a.n"), F.col("b.n"), percent))
+        .where(_may_link(*[F.col(x) for x in ("a.n", "a.place", "b.n", "b.place")], percent))
     )
     for step in range(ROUNDS):
         apart = F.abs(F.col(f"a.far{step}") - F.col(f"b.far{step}"))
@@ -245,12 +257,18 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     return _named(rows, parts)
 
 
-def _first_pivots(entries):
-    """(pivot, lead, lead_n) of regions with several sets: the member without rarer shingles of its own leads."""
+#: Regions with several sets of which one may be the smaller of a linked pair.
+_PROMISING = "_low <> _high and _inner"
+
+
+def _facts(percent):
+    """Of a region: whether it holds candidates, and its pivot, the member with the fewest rarer shingles of its own."""
     first = F.col("place") * F.lit(1 << 33) + F.col("node").bitwiseAND((1 << 32) - 1)
-    leads = [F.min_by(c, first).alias(name) for c, name in (("node", "lead"), ("n", "lead_n"))]
-    found = entries.groupBy("pivot").agg(F.min("node").alias("_low"), F.max("node").alias("_high"), F.count("*").alias("members"), *leads)
-    return found.where("_low <> _high").drop("_low", "_high")
+    return {
+        "_low": F.min("node"), "_high": F.max("node"), "members": F.count("*"),
+        "_inner": F.max(F.col("n") - F.col("place") >= needed(F.col("n"), F.col("n"), percent)),
+        "lead": F.min_by("node", first), "lead_n": F.min_by("n", first), "lead_place": F.min_by("place", first),
+    }
 
 
 def _measure(docs, pairs, ids, size, done):
@@ -279,11 +297,11 @@ def _recurse(cells, done, percent, step):
     far = far.union(far.select(F.col("lead").alias("node"), F.col("node").alias("lead"), "_far")).groupBy("node", "lead").agg(F.min("_far").alias("_far"))
     cells = cells.join(far, ["node", "lead"], "left")
     cells = cells.withColumn("_far", F.when(F.col("node") == F.col("lead"), 0.0).otherwise(F.col("_far")))
-    cells = cells.withColumnsRenamed({"_far": f"far{step}", "lead": f"pivot{step}"}).drop("lead_n")
+    cells = cells.withColumnsRenamed({"_far": f"far{step}", "lead": f"pivot{step}"}).drop("lead_n", "lead_place")
     cells = written(cells, "parts")
     turn = F.xxhash64("node", F.lit(step))
     again = (
-        cells.groupBy("pivot").agg(*[F.min_by(c, turn).alias(f"lead{x}") for c, x in (("node", ""), ("n", "_n"), ("part", "_part"))])
+        cells.groupBy("pivot").agg(*[F.min_by(c, turn).alias(f"lead{x}") for c, x in (("node", ""), ("n", "_n"), ("place", "_place"), ("part", "_part"))])
     )
     return written(cells.join(written(again, "pivots"), "pivot"), "cells")
 

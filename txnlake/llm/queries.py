@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import jaccard, mixing, quality, secrets, templates
+from txnlake.llm import embeddings, jaccard, language, mixing, quality, secrets, templates
 from txnlake.llm.tables import load
 
 
@@ -22,7 +22,7 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs.select("doc_id", "text"), quality.fit(docs, labels))
     return scored.select(
         "doc_id",
-        (remainder("doc_id", 4) == 2).alias("held_out"),
+        F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
         F.col("quality_score").alias("score"),
         (F.col("quality_score") >= quality.KEEP_AT).cast("int").alias("predicted"),
     )
@@ -58,6 +58,20 @@ def benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; texts of the held-out third are never learned from."""
+    docs = load(spark, sf_dir, "documents")
+    profiles = language.learn(docs.where(remainder("doc_id", 3) != 1))
+    return language.predict(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def vector_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of equal labels linked at a cosine of 0.93 and more."""
+    return embeddings.link_vectors(load(spark, sf_dir, "embeddings"))
+
+
 POISSON_MIX_SQL = f"""
 with sizes as (select source, count(*) as n from documents group by source),
 totals as (select sum(n) as rows_all, sum(pow(n, {mixing.POWER})) as weight_all from sizes),
@@ -84,6 +98,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secret_spans": secret_spans,
         "op4_poisson_mix": poisson_mix,
         "op5_jaccard_join": jaccard_components,
+        "op6_language_profiles": language_profiles,
+        "op7_embedding_join": vector_components,
         "op9_benchmark_templates": benchmark_templates,
         "op10_quality": quality_scores,
     }
