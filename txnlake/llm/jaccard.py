@@ -42,11 +42,13 @@ from txnlake.llm.tables import bit_table, components, in_table, written
 
 #: Two sets link when SCALE * intersection >= percent * union.
 SCALE, PERCENT = 100, 80
-ROUNDS = 2
+ROUNDS = 1
 #: Hashed counts behind the global order: their number, and the rows they travel in.
 COUNTS, BLOCKS = 1 << 20, 64
 #: Rows of a region up to which it may meet in one task.
 HOT_REGION = 100_000
+#: Rows of an Arrow batch that a task gives back.
+ROWS_OUT = 200_000
 #: Measured pairs that one copy of a pivot's set serves.
 PAIRS_PER_COPY = 64
 
@@ -78,7 +80,7 @@ def with_nodes(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                     n[i], node[i] = len(values), node_of(values)
                     held.append(values)
                     waiting += len(values)
-                if waiting > 2 * COUNTS:
+                if waiting > COUNTS // 2:
                     seen += counted(held)
                     held, waiting = [], 0
             seen += counted(held)
@@ -140,7 +142,7 @@ def members(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
         done: set[int] = set()
         order, hot = shared.value
         for batch in batches:
-            out = []
+            out, held = [], 0
             for _, values in sets(batch.column("text"), size):
                 n = len(values)
                 if n == 0 or (node := int(node_of(values))) in done:
@@ -150,61 +152,66 @@ def members(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
                 keys = (order[slots].astype(np.uint64) << np.uint64(52)) | (values >> np.uint64(12))
                 first = np.argsort(keys)[: n + (-n * percent // SCALE) + 1]
                 out.append((keys[first], node, n, hot[slots[first]]))
-            if not out:
-                continue
-            lengths = [len(x[0]) for x in out]
-            yield pa.RecordBatch.from_pydict(
-                {"pivot": np.concatenate([x[0] for x in out]).view(np.int64),
-                 "node": np.repeat(np.array([x[1] for x in out], np.int64), lengths),
-                 "n": np.repeat(np.array([x[2] for x in out], np.int32), lengths),
-                 "place": np.concatenate([np.arange(x, dtype=np.int32) for x in lengths]),
-                 "hot": np.concatenate([x[3] for x in out])}
-            )
+                held += len(first)
+                if held > ROWS_OUT:
+                    yield entries(out)
+                    out, held = [], 0
+            if out:
+                yield entries(out)
+
+    def entries(out):
+        lengths = [len(x[0]) for x in out]
+        return pa.RecordBatch.from_pydict(
+            {"pivot": np.concatenate([x[0] for x in out]).view(np.int64),
+             "node": np.repeat(np.array([x[1] for x in out], np.int64), lengths),
+             "n": np.repeat(np.array([x[2] for x in out], np.int32), lengths),
+             "place": np.concatenate([np.arange(x, dtype=np.int32) for x in lengths]),
+             "hot": np.concatenate([x[3] for x in out])}
+        )
 
     return docs.select("text").mapInArrow(run, "pivot long, node long, n int, place int, hot boolean")
 
 
-def node_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(node, values): the set of each of the nodes, from one document that has it.
+def node_texts(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(node, text): a text with the set of each of the nodes.
 
-    A bit table of the wanted ids keeps most texts out of the join.
+    A bit table of the wanted ids keeps most texts out of the join. Where rows with
+    one id differ, only those with the right set count.
     """
     wanted = written(ids.join(nodes, "node", "left_semi").withColumnRenamed("doc_id", "_id"), "wanted")
     table = bit_table(wanted.select(F.coalesce("_id", F.lit(0)).alias("key")))
     few = in_table(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", table)
-    found = few.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
+    found = few.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text", F.xxhash64("text").alias("_same"))
 
     def run(batches):
         for batch in batches:
-            node, out = batch.column("node").to_numpy(), []
-            for i, values in sets(batch.column("text"), size):
-                out.append(values.tobytes() if len(values) and node_of(values) == node[i] else None)
-            yield pa.RecordBatch.from_pydict({"node": node, "values": pa.array(out, pa.binary())})
+            node = batch.column("node").to_numpy()
+            right = [len(values) > 0 and node_of(values) == node[i] for i, values in sets(batch.column("text"), size)]
+            yield batch.filter(pa.array(right, pa.bool_()))
 
-    return found.select("node", "text").mapInArrow(run, "node long, values binary").where("values is not null").dropDuplicates(["node"])
+    return found.dropDuplicates(["node", "_same"]).select("node", "text").mapInArrow(run, "node long, text string")
 
 
-def measured(pairs: DataFrame, content: DataFrame) -> DataFrame:
+def measured(pairs: DataFrame, content: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """(a, b, both, n, m) of pairs of nodes: the size of the intersection and of both sets.
 
     The pairs of one b are spread over as many tasks as their number asks for;
-    each gets a copy of b's set and then streams the other sets past it.
+    each gets a copy of b's text and then streams the other texts past its set.
     """
-    content = written(content, "sets")
-    copies = pairs.groupBy("b").agg(F.ceil(F.count("*") / PAIRS_PER_COPY).cast("int").alias("copies"))
+    content = written(content, "texts")
+    copies = written(pairs.groupBy("b").agg(F.ceil(F.count("*") / PAIRS_PER_COPY).cast("int").alias("copies")), "copies")
     left = pairs.join(copies, "b").select("a", "b", F.pmod(F.xxhash64("a"), "copies").cast("int").alias("copy"))
     left = left.join(content.withColumnRenamed("node", "a"), "a")
     right = copies.join(content.withColumnRenamed("node", "b"), "b").select(
-        F.lit(None).cast("long").alias("a"), "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "values"
+        F.lit(None).cast("long").alias("a"), "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "text"
     )
-    dealt = left.select("a", "b", "copy", "values").union(right).repartition("b", "copy").sortWithinPartitions("b", "copy", F.col("a").asc_nulls_first())
+    dealt = left.select("a", "b", "copy", "text").union(right).repartition("b", "copy").sortWithinPartitions("b", "copy", F.col("a").asc_nulls_first())
 
     def run(batches):
         mine = np.zeros(0, np.uint64)
         for batch in batches:
             a, b, out = batch.column("a").to_pylist(), batch.column("b").to_pylist(), []
-            for i, row in enumerate(batch.column("values")):
-                values = np.frombuffer(row.as_buffer(), np.uint64)
+            for i, values in sets(batch.column("text"), size):
                 if a[i] is None:
                     mine = values
                     continue
@@ -279,7 +286,7 @@ def _measure(docs, pairs, ids, size, done):
     if pairs.isEmpty():
         return done if done is not None else written(pairs.selectExpr("a", "b", "0L both", "0L n", "0L m"), "measured")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    new = written(measured(pairs, node_sets(docs, nodes, ids, size)), "measured")
+    new = written(measured(pairs, node_texts(docs, nodes, ids, size), size), "measured")
     return new if done is None else done.union(new)
 
 
@@ -299,6 +306,8 @@ def _recurse(cells, done, percent, step):
     cells = cells.withColumn("_far", F.when(F.col("node") == F.col("lead"), 0.0).otherwise(F.col("_far")))
     cells = cells.withColumnsRenamed({"_far": f"far{step}", "lead": f"pivot{step}"}).drop("lead_n", "lead_place")
     cells = written(cells, "parts")
+    if step + 1 == ROUNDS:
+        return cells
     turn = F.xxhash64("node", F.lit(step))
     again = (
         cells.groupBy("pivot").agg(*[F.min_by(c, turn).alias(f"lead{x}") for c, x in (("node", ""), ("n", "_n"), ("place", "_place"), ("part", "_part"))])

@@ -79,7 +79,9 @@ def labelled(docs: DataFrame, strings: int = TRAIN_STRINGS, texts: int = TRAIN_T
     some = docs.select("text").where("text is not null")
     marked = some.where(F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX))
     values = with_base(marked).select(F.explode(F.concat("assign", "access", "hex")).alias("x")).select("x.value")
-    few = some.select(F.xxhash64("text").alias("h"), "text").orderBy("h").limit(texts).select("text")
+    hashed = some.select(F.xxhash64("text").alias("h"), "text")
+    last = hashed.select("h").distinct().orderBy("h").limit(texts).agg(F.max("h")).first()[0]
+    few = hashed.where(F.col("h") <= F.lit(last)).dropDuplicates(["h"])
     words = few.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("value"))
     pick = lambda df, kind: df.distinct().orderBy(F.xxhash64("value"), "value").limit(strings).withColumn("random", F.lit(kind))
     return pick(values, True).union(pick(words, False))
