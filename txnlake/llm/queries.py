@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import embeddings, jaccard, language, mixing, quality, secrets, templates
+from txnlake.llm import embeddings, jaccard, language, mixing, passages, quality, secrets, templates, warc, wordpiece
 from txnlake.llm.tables import load
 
 
@@ -72,6 +72,80 @@ def vector_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link_vectors(load(spark, sf_dir, "embeddings"))
 
 
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Web captures made from the pages: three of each.
+
+    A full response at a time given by the id, a later revisit that carries the page's ETag (a
+    mismatch where another page has the same URL), and an earlier revisit without validators.
+    """
+    headers = lambda *pairs: F.map_from_arrays(F.array(*[F.lit(k) for k, _ in pairs]), F.array(*[v.cast("string") for _, v in pairs]))
+    etag, size = F.md5(F.col("html").cast("binary")), F.length("html")
+    full = pages.select(
+        (F.col("page_id") * 3).alias("record_id"), "url", F.col("page_id").alias("ts"), F.lit("response").alias("kind"),
+        headers(("Content-Type", F.lit("text/html")), ("Content-Length", size), ("ETag", etag), ("Date", F.col("page_id"))).alias("headers"),
+    )
+    again = pages.select(
+        (F.col("page_id") * 3 + 1).alias("record_id"), "url", (F.col("page_id") + 1000).alias("ts"), F.lit("revisit").alias("kind"),
+        headers(("Content-Length", F.lit(0)), ("ETag", etag), ("Date", F.col("page_id") + 1000)).alias("headers"),
+    )
+    bare = pages.select(
+        (F.col("page_id") * 3 + 2).alias("record_id"), "url", (F.col("page_id") - 1000).alias("ts"), F.lit("revisit").alias("kind"),
+        headers(("Expires", F.col("page_id")), ("Date", F.col("page_id") - 1000)).alias("headers"),
+    )
+    return full.union(again).union(bare)
+
+
+def revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of all pages with the response that each stands for."""
+    found = warc.resolve(page_captures(load(spark, sf_dir, "pages")))
+    named = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return found.withColumn("headers", F.array_join(named, "; "))
+
+
+_HOST = r"regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www\.', ''), ':(80|443)$', '')"
+_PATH = r"regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '')"
+_ASKED = r"array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda p: p <> '' and not regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)='))), '&')"
+REVISITS_SQL = f"""
+with a as (
+  select page_id, md5(html) as etag, length(html) as size,
+    regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as rest from pages
+),
+p as (select *, {_HOST} || {_PATH} || case when {_ASKED} <> '' then '?' || {_ASKED} else '' end as key from a),
+asked as (
+  select page_id * 3 + 1 as record_id, key, page_id + 1000 as ts, etag, null as expires, 0 as size from p
+  union all select page_id * 3 + 2, key, page_id - 1000, null, page_id, null from p
+),
+ranked as (
+  select q.*, f.page_id as found, f.etag as found_etag, f.size as found_size,
+    row_number() over (partition by q.record_id order by f.page_id desc nulls last) as n
+  from asked q left join p f on f.key = q.key and f.page_id <= q.ts
+),
+judged as (
+  select *, case when found is null then 'none' when etag is null then 'unchecked' when etag = found_etag then 'etag' else 'mismatch' end as verdict from ranked where n = 1
+)
+select record_id, key as canonical_url, ts, found * 3 as response_id, found as response_ts, verdict,
+  concat_ws('; ',
+    case when verdict in ('etag', 'unchecked') then 'content-length=' || found_size when size is not null then 'content-length=' || size end,
+    case when verdict in ('etag', 'unchecked') then 'content-type=text/html' end,
+    'date=' || ts,
+    case when etag is not null then 'etag=' || etag when verdict = 'unchecked' then 'etag=' || found_etag end,
+    case when expires is not null then 'expires=' || expires end) as headers
+from judged
+"""
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-piece tokens of every document."""
+    return wordpiece.count_tokens(load(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens")
+
+
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share a passage of 50 words and more with another document."""
+    found = passages.repeated_passages(load(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
+    return found.select("doc_id", spans.alias("spans"), "n_words", "with_doc")
+
+
 POISSON_MIX_SQL = f"""
 with sizes as (select source, count(*) as n from documents group by source),
 totals as (select sum(n) as rows_all, sum(pow(n, {mixing.POWER})) as weight_all from sizes),
@@ -95,15 +169,18 @@ from counted, unnest(range(1, copies + 1)) as c(copy)
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_revisits": revisits,
+        "op2_token_counts": token_counts,
         "op3_secret_spans": secret_spans,
         "op4_poisson_mix": poisson_mix,
         "op5_jaccard_join": jaccard_components,
         "op6_language_profiles": language_profiles,
         "op7_embedding_join": vector_components,
+        "op8_repeated_passages": repeated_passages,
         "op9_benchmark_templates": benchmark_templates,
         "op10_quality": quality_scores,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op4_poisson_mix": POISSON_MIX_SQL}
+    return {"op1_revisits": REVISITS_SQL, "op4_poisson_mix": POISSON_MIX_SQL}
