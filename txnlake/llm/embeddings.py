@@ -9,7 +9,8 @@ border between pivots p (home) and q is at least (d(x,q)^2 - d(x,p)^2) / (2 d(p,
 lies beyond a border farther than the range. Cells then join independently: a
 vector meets all its partners in its home cell and is counted there only.
 
-Cells that stay large (vectors too much alike, or too many dimensions for pivots to
+A division is kept only where it pays: where a row visits few of the cells on average. Cells
+that stay large (vectors too much alike, or too many dimensions for pivots to
 tell apart) are joined in blocks, so no task holds more than two blocks. Equal
 vectors of one label are one node with a count. Cosines are computed in double precision
 from the given values. Links are not written out: tasks return counts and a
@@ -32,6 +33,8 @@ from txnlake.llm.tables import components, written
 LEAST_COSINE = 0.93
 #: Vectors of a cell that meet in one task, levels of division, and pivots of a cell at each.
 BLOCK, LEVELS, PIVOTS = 2048, 2, 16
+#: Most visits of a row, on average, for which a division is kept.
+VISITS = 3
 #: Rows that one copy of a cell's pivots serves.
 ROWS_PER_COPY = 4096
 #: Slack for rounding in windows; it only lets more vectors visit.
@@ -85,9 +88,11 @@ def _divide(rows: DataFrame, level: int, reach: float) -> DataFrame:
         "cell", F.lit(None).cast("long").alias("node"), F.lit(None).cast("boolean").alias("home"), F.lit(None).cast("long").alias("copies"), "unit", "sub",
         F.lit(_ROLE_PIVOT).alias("role"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"),
     )
-    dealt = left.union(right).repartition("cell", "copy").sortWithinPartitions("cell", "copy", "role")
+    dealt = left.union(right)
+    ordered = dealt.repartition("cell", "copy").sortWithinPartitions("cell", "copy", "role")
 
-    def run(batches):
+    def runs(batches):
+        """Each cell's rows with its pivots."""
         place, subs, centres = None, [], []
         for batch in batches:
             cells, copy, role = (batch.column(c).to_numpy() for c in ("cell", "copy", "role"))
@@ -99,16 +104,28 @@ def _divide(rows: DataFrame, level: int, reach: float) -> DataFrame:
                 if role[a] == _ROLE_PIVOT:
                     subs += part.column("sub").to_pylist()
                     centres.append(_matrix(part.column("unit")))
-                    continue
-                index, cell, home = _visits(part, np.array(subs, np.int64), centres, reach, cells[a])
-                out = part.select(["node", "copies", "unit"]).take(pa.array(index))
-                yield pa.RecordBatch.from_arrays(
-                    [out.column("node"), pa.array(cell), pa.array(home), out.column("copies"), out.column("unit")],
-                    names=["node", "cell", "home", "copies", "unit"],
-                )
-
-    moved = dealt.mapInArrow(run, "node long, cell long, home boolean, copies long, unit binary")
-    return written(rows.join(large, "cell", "left_anti").select(*moved.columns).union(moved), "cells")
+                else:
+                    yield cells[a], part, _visits(part, np.array(subs, np.int64), centres, reach, cells[a])
+
+    def count(batches):
+        for cell, part, (index, _, _) in runs(batches):
+            yield pa.RecordBatch.from_pydict({"cell": [cell], "rows": [part.num_rows], "visits": [len(index)]})
+
+    def move(batches):
+        for _, part, (index, cell, home) in runs(batches):
+            out = part.select(["node", "copies", "unit"]).take(pa.array(index))
+            yield pa.RecordBatch.from_arrays(
+                [out.column("node"), pa.array(cell), pa.array(home), out.column("copies"), out.column("unit")],
+                names=["node", "cell", "home", "copies", "unit"],
+            )
+
+    tried = ordered.mapInArrow(count, "cell long, rows long, visits long").groupBy("cell").agg(F.sum("rows").alias("r"), F.sum("visits").alias("v"))
+    pays = written(tried.where(F.col("v") <= VISITS * F.col("r")).select("cell"), "pays")
+    if pays.isEmpty():
+        return rows
+    moved = dealt.join(pays, "cell", "left_semi").repartition("cell", "copy").sortWithinPartitions("cell", "copy", "role")
+    moved = moved.mapInArrow(move, "node long, cell long, home boolean, copies long, unit binary")
+    return written(rows.join(pays, "cell", "left_anti").select(*moved.columns).union(moved.select(*moved.columns)), "cells")
 
 
 def _visits(part, subs, centres, reach, cell):

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlake.llm.hashing import SHINGLE_WORDS, mix, sets
-from txnlake.llm.tables import bit_table, components, in_table, written
+from txnlake.llm.tables import components, texts_of, written
 
 #: Two sets link when SCALE * intersection >= percent * union.
 SCALE, PERCENT = 100, 80
@@ -132,7 +132,7 @@ def _may_link(n: F.Column, at_n: F.Column, m: F.Column, at_m: F.Column, percent:
 
 
 def members(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(pivot, node, n, place, hot): the regions that each set is in.
+    """(pivot, node, at, hot): the regions that each set is in; at is its size and the pivot's place in it.
 
     A region is hot if its hashed count, never less than its members, is over HOT_REGION.
     """
@@ -164,12 +164,11 @@ def members(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
         return pa.RecordBatch.from_pydict(
             {"pivot": np.concatenate([x[0] for x in out]).view(np.int64),
              "node": np.repeat(np.array([x[1] for x in out], np.int64), lengths),
-             "n": np.repeat(np.array([x[2] for x in out], np.int32), lengths),
-             "place": np.concatenate([np.arange(x, dtype=np.int32) for x in lengths]),
+             "at": np.repeat(np.array([x[2] for x in out], np.int64), lengths) << 32 | np.concatenate([np.arange(x) for x in lengths]),
              "hot": np.concatenate([x[3] for x in out])}
         )
 
-    return docs.select("text").mapInArrow(run, "pivot long, node long, n int, place int, hot boolean")
+    return docs.select("text").mapInArrow(run, "pivot long, node long, at long, hot boolean")
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -178,10 +177,7 @@ def node_texts(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) ->
     A bit table of the wanted ids keeps most texts out of the join. Where rows with
     one id differ, only those with the right set count.
     """
-    wanted = written(ids.join(nodes, "node", "left_semi").withColumnRenamed("doc_id", "_id"), "wanted")
-    table = bit_table(wanted.select(F.coalesce("_id", F.lit(0)).alias("key")))
-    few = in_table(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", table)
-    found = few.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text", F.xxhash64("text").alias("_same"))
+    found = texts_of(docs, ids.join(nodes, "node", "left_semi"))
 
     def run(batches):
         for batch in batches:
@@ -189,7 +185,7 @@ def node_texts(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) ->
             right = [len(values) > 0 and node_of(values) == node[i] for i, values in sets(batch.column("text"), size)]
             yield batch.filter(pa.array(right, pa.bool_()))
 
-    return found.dropDuplicates(["node", "_same"]).select("node", "text").mapInArrow(run, "node long, text string")
+    return found.mapInArrow(run, "node long, text string")
 
 
 def measured(pairs: DataFrame, content: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -238,7 +234,11 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     by_pivot = Window.partitionBy("pivot")
     cold = cold.withColumns({name: fact.over(by_pivot) for name, fact in facts.items()}).where(_PROMISING)
     hot = hot.join(written(hot.groupBy("pivot").agg(*[f.alias(x) for x, f in facts.items()]).where(_PROMISING), "pivots"), "pivot")
-    cells = written(cold.unionByName(hot).drop("_low", "_high", "_inner"), "cells")
+    (n, place), (lead_n, lead_place) = _size_and_place("at"), _size_and_place("lead_at")
+    cells = cold.unionByName(hot).select(
+        "pivot", "node", n.alias("n"), place.alias("place"), "members", "lead", lead_n.alias("lead_n"), lead_place.alias("lead_place")
+    )
+    cells = written(cells, "cells")
 
     near = _may_link(*[F.col(x) for x in ("n", "place", "lead_n", "lead_place")], percent)
     done = None
@@ -270,14 +270,19 @@ _PROMISING = "_low <> _high and _inner"
 
 def _facts(percent):
     """Of a region: whether it holds candidates, and its pivot, the member with the fewest rarer shingles of its own."""
-    first = F.col("place") * F.lit(1 << 33) + F.col("node").bitwiseAND((1 << 32) - 1)
+    n, place = _size_and_place("at")
+    first = place.cast("long") * F.lit(1 << 33) + F.col("node").bitwiseAND((1 << 32) - 1)
     return {
         "_low": F.min("node"), "_high": F.max("node"), "members": F.count("*"),
-        "_inner": F.max(F.col("n") - F.col("place") >= needed(F.col("n"), F.col("n"), percent)),
-        "lead": F.min_by("node", first), "lead_n": F.min_by("n", first), "lead_place": F.min_by("place", first),
+        "_inner": F.max(n - place >= needed(n, n, percent)),
+        "lead": F.min_by("node", first), "lead_at": F.min_by("at", first),
     }
 
 
+def _size_and_place(at):
+    return F.shiftright(at, 32).cast("int"), F.col(at).bitwiseAND((1 << 32) - 1).cast("int")
+
+
 def _measure(docs, pairs, ids, size, done):
     if done is not None:
         old = done.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b"))

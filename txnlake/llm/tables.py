@@ -105,3 +105,14 @@ def in_table(df: DataFrame, column: str, table: np.ndarray) -> DataFrame:
             yield batch.filter(pa.array(shared.value[bit_of(keys)]))
 
     return df.mapInArrow(run, df.schema)
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text): the different texts of the documents that wanted (node, doc_id) names.
+
+    A bit table of the ids keeps most texts out of the join, and repeated rows go in the join's own partitions.
+    """
+    wanted = written(wanted.select("node", F.col("doc_id").alias("_id"), F.coalesce("doc_id", F.lit(0)).alias("_key")), "wanted")
+    few = in_table(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", bit_table(wanted.select(F.col("_key").alias("key"))))
+    found = few.withColumn("_key", F.coalesce("doc_id", F.lit(0))).join(wanted, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
+    return found.withColumn("_same", F.xxhash64("text")).dropDuplicates(["_key", "node", "_same"]).select("node", "text")
