@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnlake.llm.hashing import SHINGLE_WORDS, mix, sets
-from txnlake.llm.tables import components, texts_of, written
+from txnlake.llm.tables import any_repeated, components, with_texts, written
 
 #: Two sets link when SCALE * intersection >= percent * union.
 SCALE, PERCENT = 100, 80
@@ -171,43 +171,35 @@ def members(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
     return docs.select("text").mapInArrow(run, "pivot long, node long, at long, hot boolean")
 
 
-def node_texts(docs: DataFrame, nodes: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(node, text): a text with the set of each of the nodes.
+def pair_request(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Which texts each task needs: one row per pair with a's id, and b's id once for PAIRS_PER_COPY pairs, with a null.
 
-    A bit table of the wanted ids keeps most texts out of the join. Where rows with
-    one id differ, only those with the right set count.
+    The pairs of one b are spread over as many tasks as their number asks for. Columns of pairs
+    besides a and b go with a.
     """
-    found = texts_of(docs, ids.join(nodes, "node", "left_semi"))
-
-    def run(batches):
-        for batch in batches:
-            node = batch.column("node").to_numpy()
-            right = [len(values) > 0 and node_of(values) == node[i] for i, values in sets(batch.column("text"), size)]
-            yield batch.filter(pa.array(right, pa.bool_()))
-
-    return found.mapInArrow(run, "node long, text string")
+    copies = written(pairs.groupBy("b").agg(F.ceil(F.count("*") / PAIRS_PER_COPY).cast("int").alias("copies")), "copies")
+    left = pairs.join(copies, "b").withColumn("copy", F.pmod(F.xxhash64("a"), "copies").cast("int")).withColumn("node", F.col("a")).drop("copies")
+    right = copies.select(F.col("b").alias("node"), "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    return left.unionByName(right, allowMissingColumns=True).join(ids.select("node", "doc_id"), "node")
 
 
-def measured(pairs: DataFrame, content: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
+def measured(docs: DataFrame, pairs: DataFrame, ids: DataFrame, repeated: bool, size: int = SHINGLE_WORDS) -> DataFrame:
     """(a, b, both, n, m) of pairs of nodes: the size of the intersection and of both sets.
 
-    The pairs of one b are spread over as many tasks as their number asks for;
-    each gets a copy of b's text and then streams the other texts past its set.
+    Each task streams the texts of its a past b's set. Where rows with one id
+    differ, only the text with the right set counts.
     """
-    content = written(content, "texts")
-    copies = written(pairs.groupBy("b").agg(F.ceil(F.count("*") / PAIRS_PER_COPY).cast("int").alias("copies")), "copies")
-    left = pairs.join(copies, "b").select("a", "b", F.pmod(F.xxhash64("a"), "copies").cast("int").alias("copy"))
-    left = left.join(content.withColumnRenamed("node", "a"), "a")
-    right = copies.join(content.withColumnRenamed("node", "b"), "b").select(
-        F.lit(None).cast("long").alias("a"), "b", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "text"
-    )
-    dealt = left.select("a", "b", "copy", "text").union(right).repartition("b", "copy").sortWithinPartitions("b", "copy", F.col("a").asc_nulls_first())
+    dealt = with_texts(docs, pair_request(pairs, ids), repeated).select("node", "a", "b", "copy", "text")
+    dealt = dealt.repartition("b", "copy").sortWithinPartitions("b", "copy", F.col("a").asc_nulls_first())
 
     def run(batches):
         mine = np.zeros(0, np.uint64)
         for batch in batches:
-            a, b, out = batch.column("a").to_pylist(), batch.column("b").to_pylist(), []
+            node, a, b = (batch.column(c).to_pylist() for c in ("node", "a", "b"))
+            out = []
             for i, values in sets(batch.column("text"), size):
+                if not len(values) or node_of(values) != node[i]:
+                    continue
                 if a[i] is None:
                     mine = values
                     continue
@@ -225,6 +217,7 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     table = written(with_nodes(docs, size), "nodes")
     rows = table.where("block is null").select("doc_id", "n_shingles", "node")
     ids = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    repeated = any_repeated(rows, "doc_id")
     counts = hashed_counts(table.where("block is not null"))
 
     entries = written(members(docs, counts, size, percent), "members")
@@ -247,7 +240,7 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
         if step:
             pairs = pairs.where("part <> lead_part")
         pairs = pairs.select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
-        done = _measure(docs, pairs, ids, size, done)
+        done = _measure(docs, pairs, ids, size, done, repeated)
         cells = _recurse(cells, done, percent, step)
     a, b = cells.alias("a"), cells.alias("b")
     last = (
@@ -259,7 +252,7 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
         apart = F.abs(F.col(f"a.far{step}") - F.col(f"b.far{step}"))
         last = last.where((F.col(f"a.pivot{step}") != F.col(f"b.pivot{step}")) | apart.isNull() | (apart <= 1 - percent / SCALE + 1e-9))
     last = last.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    done = _measure(docs, last, ids, size, done)
+    done = _measure(docs, last, ids, size, done, repeated)
     parts = components(_links(done, percent))
     return _named(rows, parts)
 
@@ -283,15 +276,14 @@ def _size_and_place(at):
     return F.shiftright(at, 32).cast("int"), F.col(at).bitwiseAND((1 << 32) - 1).cast("int")
 
 
-def _measure(docs, pairs, ids, size, done):
+def _measure(docs, pairs, ids, size, done, repeated):
     if done is not None:
         old = done.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b"))
         pairs = pairs.join(old, (F.least("a", "b") == F.col("_a")) & (F.greatest("a", "b") == F.col("_b")), "left_anti")
     pairs = written(pairs, "pairs")
     if pairs.isEmpty():
         return done if done is not None else written(pairs.selectExpr("a", "b", "0L both", "0L n", "0L m"), "measured")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    new = written(measured(pairs, node_texts(docs, nodes, ids, size), size), "measured")
+    new = written(measured(docs, pairs, ids, repeated, size), "measured")
     return new if done is None else done.union(new)
 
 

@@ -25,8 +25,8 @@ UNKNOWN = "und"
 #: More languages than this are an error, as the profiles are sent to every task.
 MOST_LANGUAGES = 2000
 _SHIFT = 21
-#: Characters that are handled at once.
-CHUNK = 1 << 19
+#: Characters that are handled at once, and n-grams that a task holds before it counts them.
+CHUNK, HELD = 1 << 18, 1 << 21
 _letters: list[np.ndarray] = []
 
 
@@ -76,18 +76,26 @@ def ranked(values: np.ndarray, top: int) -> np.ndarray:
 def learn(docs: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
     """Profiles from rows of (text, lang); rows without either are left out."""
 
+    def fold(total, held):
+        for lang, lists in held.items():
+            keys, counts = counted(np.concatenate(lists))
+            if lang in total:
+                keys, at = np.unique(np.concatenate([total[lang][0], keys]), return_inverse=True)
+                counts = np.bincount(at, np.concatenate([total[lang][1], counts])).astype(np.int64)
+            total[lang] = keys, counts
+
     def run(batches):
         total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[str, list[np.ndarray]] = {}
+        waiting = 0
         for batch in batches:
-            held: dict[str, list[np.ndarray]] = {}
             for lang, values in zip(batch.column("lang").to_pylist(), grams(batch.column("text").to_pylist()), strict=True):
                 held.setdefault(lang, []).append(values)
-            for lang, lists in held.items():
-                keys, counts = counted(np.concatenate(lists))
-                if lang in total:
-                    keys, at = np.unique(np.concatenate([total[lang][0], keys]), return_inverse=True)
-                    counts = np.bincount(at, np.concatenate([total[lang][1], counts])).astype(np.int64)
-                total[lang] = keys, counts
+                waiting += len(values)
+                if waiting > HELD:
+                    fold(total, held)
+                    held, waiting = {}, 0
+        fold(total, held)
         for lang, (keys, counts) in total.items():
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(keys)), "gram": keys, "n": counts})
 

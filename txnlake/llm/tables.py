@@ -107,12 +107,20 @@ def in_table(df: DataFrame, column: str, table: np.ndarray) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text): the different texts of the documents that wanted (node, doc_id) names.
+def any_repeated(rows: DataFrame, column: str) -> bool:
+    """Whether a value, null included, stands in several rows."""
+    return not rows.groupBy(column).count().where("count > 1").isEmpty()
 
-    A bit table of the ids keeps most texts out of the join, and repeated rows go in the join's own partitions.
+
+def with_texts(docs: DataFrame, request: DataFrame, repeated: bool) -> DataFrame:
+    """The rows of request (doc_id and any columns but _key and text), each with the texts of the rows of docs with that id.
+
+    A bit table of the ids keeps most texts out of the one shuffle. repeated tells that
+    ids repeat in docs: each different text then counts once.
     """
-    wanted = written(wanted.select("node", F.col("doc_id").alias("_id"), F.coalesce("doc_id", F.lit(0)).alias("_key")), "wanted")
-    few = in_table(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", bit_table(wanted.select(F.col("_key").alias("key"))))
-    found = few.withColumn("_key", F.coalesce("doc_id", F.lit(0))).join(wanted, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
-    return found.withColumn("_same", F.xxhash64("text")).dropDuplicates(["_key", "node", "_same"]).select("node", "text")
+    request = written(request.withColumn("_key", F.coalesce("doc_id", F.lit(0))), "request")
+    texts = in_table(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", bit_table(request.select(F.col("_key").alias("key"))))
+    if repeated:
+        texts = texts.withColumn("_same", F.xxhash64("text")).dropDuplicates(["doc_id", "_same"]).drop("_same")
+    texts = texts.select(F.col("doc_id").alias("_id"), F.coalesce("doc_id", F.lit(0)).alias("_key"), "text")
+    return texts.join(request, "_key").where(F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id", "_key")
