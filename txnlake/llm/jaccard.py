@@ -220,15 +220,18 @@ def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = P
     repeated = any_repeated(rows, "doc_id")
     counts = hashed_counts(table.where("block is not null"))
 
-    entries = written(members(docs, counts, size, percent), "members")
     # cold regions meet in one sort; hot ones are grouped before they are shuffled, and split when joined
-    cold, hot = entries.where("not hot").drop("hot"), entries.where("hot").drop("hot")
+    entries = members(docs, counts, size, percent)
     facts = _facts(percent)
     by_pivot = Window.partitionBy("pivot")
-    cold = cold.withColumns({name: fact.over(by_pivot) for name, fact in facts.items()}).where(_PROMISING)
-    hot = hot.join(written(hot.groupBy("pivot").agg(*[f.alias(x) for x, f in facts.items()]).where(_PROMISING), "pivots"), "pivot")
+    cells = entries.where("not hot").drop("hot").withColumns({name: fact.over(by_pivot) for name, fact in facts.items()}).where(_PROMISING)
+    if (counts > HOT_REGION).any():
+        hot = written(entries.where("hot").drop("hot"), "hot")
+        cells = cells.unionByName(
+            hot.join(written(hot.groupBy("pivot").agg(*[f.alias(x) for x, f in facts.items()]).where(_PROMISING), "pivots"), "pivot")
+        )
     (n, place), (lead_n, lead_place) = _size_and_place("at"), _size_and_place("lead_at")
-    cells = cold.unionByName(hot).select(
+    cells = cells.select(
         "pivot", "node", n.alias("n"), place.alias("place"), "members", "lead", lead_n.alias("lead_n"), lead_place.alias("lead_place")
     )
     cells = written(cells, "cells")
