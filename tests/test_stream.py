@@ -138,7 +138,7 @@ def test_ids_remembered_in_state(spark, root, source, monkeypatch):
     assert T.read_table(spark, root, "raw_transactions").count() == 3
 
 
-def test_state_does_not_read_the_history(spark, root, source):
+def test_state_is_exact_whatever_the_clock(spark, root, source):
     from datetime import datetime, timezone
 
     long_ago = datetime(2020, 1, 1, tzinfo=timezone.utc)
@@ -149,6 +149,32 @@ def test_state_does_not_read_the_history(spark, root, source):
     assert T.read_table(spark, root, "raw_transactions").count() == 1
 
 
+@pytest.mark.parametrize("remember", ["table", "state"])
+def test_new_checkpoint_over_old_rows_and_replay_with_recorded_time(spark, root, source, remember):
+    from datetime import datetime, timezone
+
+    long_ago = datetime(2020, 1, 1, tzinfo=timezone.utc)
+    send(spark, source, message(), message(transaction_id="txn-00000002"), "junk")
+    run(spark, source, root, remember=remember, now=long_ago)
+    run(spark, source, root, remember=remember, checkpoint="new")
+    assert T.read_table(spark, root, "raw_transactions").count() == 2
+    assert T.read_table(spark, root, "rejected_events").count() == 2  # one per checkpoint
+    for _ in range(2):
+        I.write_batch(spark, messages(spark, message()), root, "load", 0, now=long_ago)
+    assert T.read_table(spark, root, "raw_transactions").count() == 2
+
+
+def test_held_reader_survives_later_publishes(spark, root):
+    from txnlake.sources.tables import Version
+
+    for version in range(1, 8):
+        T.write_version(spark.createDataFrame([], T.REPLACED["dim_user"]), root, "dim_user", version)
+        T.publish(spark, root, {"dim_user": Version(version, T.EPOCH)})
+        if version == 1:
+            held = T.read_table(spark, root, "dim_user")
+    assert held.count() == 0
+
+
 def test_remember_is_checked(spark, root, source):
     send(spark, source, message())
     with pytest.raises(ValueError):

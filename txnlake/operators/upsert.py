@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A batch's keys are broadcast up to this many bytes; beyond it both sides shuffle.
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-
 Keys = str | list[str]
 
 
@@ -36,19 +33,15 @@ def append_new(
     batch: DataFrame,
     key: str,
     order: list[Column] | None = None,
-    key_bytes: int | None = None,
 ) -> DataFrame:
     """Rows of `batch` whose key is not in `target`, the first of each key.
 
-    Without `order` the batch must already hold each key once. `key_bytes` is
-    the measured size of the batch's keys: when it is small, the target is
-    first cut down to those keys by a broadcast, so its history is scanned but
-    not shuffled. Unmeasured or larger batches take the plain anti join.
+    Without `order` the batch must already hold each key once. The target is
+    first cut down to the batch's keys; the planner broadcasts these where its own
+    threshold allows, so a small batch scans the target's history without shuffling it.
     """
     fresh = batch if order is None else first_per_key(batch, key, order)
-    known = target.select(key)
-    if key_bytes is not None and key_bytes <= BROADCAST_KEY_BYTES:
-        known = known.join(F.broadcast(batch.select(key)), key, "left_semi")
+    known = target.select(key).join(batch.select(key).distinct(), key, "left_semi")
     return fresh.join(known, key, "left_anti")
 
 

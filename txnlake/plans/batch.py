@@ -92,40 +92,21 @@ def quality_gate(spark: SparkSession, root: str, raw: DataFrame, run_ts: datetim
     require_passed(results)
 
 
-def _days_and_key_bytes(rows: DataFrame, dim_date: DataFrame) -> tuple[list, int]:
-    """Calendar days among the rows' events, and the total size of their ids.
+def _event_days(rows: DataFrame, dim_date: DataFrame) -> list:
+    """Calendar days among the rows' events: at most one row per day of the date dimension reaches the driver."""
+    days = rows.select(date_key(F.col("event_time")).alias("date_key")).distinct()
+    return [r[0] for r in days.join(dim_date.select("date_key"), "date_key", "left_semi").collect()]
 
-    At most one result row per day of the date dimension reaches the driver.
-    """
-    calendar = dim_date.select("date_key", F.col("date_key").alias("day"))
-    per_day = (
-        rows.select(
-            date_key(F.col("event_time")).alias("date_key"),
-            F.octet_length("transaction_id").alias("bytes"),
-        )
-        .groupBy("date_key")
-        .agg(F.sum("bytes").alias("bytes"))
-        .join(calendar, "date_key", "left")
-        .groupBy("day")
-        .agg(F.sum("bytes").alias("bytes"))
-        .collect()
-    )
-    return [r.day for r in per_day if r.day], sum(r.bytes or 0 for r in per_day)
 
+def _unknown(spark: SparkSession, root: str, rows: DataFrame, days: list) -> DataFrame:
+    """Rows whose id is in neither the fact table nor its rejects, the first ingested of each id.
 
-def _unknown(
-    spark: SparkSession, root: str, rows: DataFrame, days: list, key_bytes: int
-) -> DataFrame:
-    """Rows whose id is in neither the fact table nor its rejects.
-
-    Raw keeps one row per id, so an id that is already a fact has the same event
-    day, and only the fact partitions of the rows' own days need reading.
+    Copies of an id are looked for on the event days of the rows themselves: only
+    those fact partitions are read.
     """
     fact = read_table(spark, root, FACT).where(F.col("date_key").isin(days))
-    fresh = append_new(fact, rows, "transaction_id", key_bytes=key_bytes)
-    return append_new(
-        read_table(spark, root, "fact_rejected"), fresh, "transaction_id", key_bytes=key_bytes
-    )
+    fresh = append_new(fact, rows, "transaction_id", [F.col("ingested_at")])
+    return append_new(read_table(spark, root, "fact_rejected"), fresh, "transaction_id")
 
 
 def _stage(
@@ -136,15 +117,14 @@ def _stage(
     versions = current_versions(spark, root)
     raw = read_table(spark, root, "raw_transactions")
     window = raw_window(raw, low, high)
-    # Rows up to the watermark passed the gate before; raw rows never change.
-    whole = options.refresh == "full"
-    to_check = raw_window(raw, EPOCH, high) if whole else window
+    # All that has landed: a row may land after the run that its stamp belongs to.
+    to_check = raw_window(raw, EPOCH, high)
     dim_date = read_table(spark, root, "dim_date", versions)
-    _, (days, key_bytes) = _together(
+    _, days = _together(
         lambda: quality_gate(spark, root, to_check, run_ts),
-        lambda: _days_and_key_bytes(window, dim_date),
+        lambda: _event_days(window, dim_date),
     )
-    new = _unknown(spark, root, window, days, key_bytes)
+    new = _unknown(spark, root, window, days)
     version = versions[FACT].version + 1 if FACT in versions else 1
     write_version(new.drop("ingest_date"), root, PENDING, version)
     publish(spark, root, {PENDING: Version(version, high)})
@@ -191,9 +171,9 @@ def _finish(
     to_write, to_reject = good, bad
     if resumed:
         # The earlier attempt may have written some of these.
-        days, key_bytes = _days_and_key_bytes(new, table("dim_date"))
+        days = _event_days(new, table("dim_date"))
         known = table(FACT).where(F.col("date_key").isin(days))
-        to_write = append_new(known, good, "transaction_id", key_bytes=key_bytes)
+        to_write = append_new(known, good, "transaction_id")
         to_reject = append_new(table("fact_rejected"), bad, "transaction_id")
 
     def write_facts() -> None:

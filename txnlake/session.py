@@ -48,6 +48,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     Only a session that names none (a test on one machine) gets a local one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="txnlake-")
         spark.conf.set("spark.checkpoint.dir", base)

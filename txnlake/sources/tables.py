@@ -22,9 +22,6 @@ from txnlake.operators.facts import INGEST_DATE
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
-# A version's folder is overwritten this many publishes later.
-SLOTS = 4
-
 # Table to (stored columns, partition columns).
 GROWING = {
     "raw_transactions": (f"{S.RAW}, {INGEST_DATE} date", [INGEST_DATE]),
@@ -78,8 +75,9 @@ def current_versions(spark: SparkSession, root: str) -> dict[str, Version]:
     }
 
 
-def _slot(root: str, name: str, version: int) -> str:
-    return f"{root}/{name}/slot{version % SLOTS}"
+def _folder(root: str, name: str, version: int) -> str:
+    """Each version has a folder of its own, so a reader keeps what it began to read."""
+    return f"{root}/{name}/version{version}"
 
 
 def read_table(
@@ -90,7 +88,7 @@ def read_table(
     versions = current_versions(spark, root) if versions is None else versions
     if name not in versions:
         return spark.createDataFrame([], REPLACED[name])
-    return _read(spark, _slot(root, name, versions[name].version), REPLACED[name])
+    return _read(spark, _folder(root, name, versions[name].version), REPLACED[name])
 
 
 def append_rows(df: DataFrame, root: str, name: str) -> None:
@@ -112,7 +110,7 @@ def append_rows(df: DataFrame, root: str, name: str) -> None:
 
 def write_version(df: DataFrame, root: str, name: str, version: int) -> None:
     """Write a version that nobody sees before it is published."""
-    df.write.mode("overwrite").parquet(_slot(root, name, version))
+    df.write.mode("overwrite").parquet(_folder(root, name, version))
 
 
 def publish(spark: SparkSession, root: str, versions: dict[str, Version]) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlake.operators.enrich import enrich
-from txnlake.operators.facts import INGEST_DATE
 from txnlake.operators.upsert import append_new
 from txnlake.operators.validate import split_valid, validate
 from txnlake.session import use_utc
@@ -48,7 +47,6 @@ def _write_checked(
     stream: str,
     batch: int,
     now: datetime | Column | None,
-    horizon: timedelta | None,
 ) -> dict[str, int]:
     now = now if now is not None else datetime.now(timezone.utc)
     checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
@@ -57,9 +55,6 @@ def _write_checked(
         seen = checked.agg(
             F.count_if(is_good).alias("attempted"),
             F.count_if(~is_good).alias("rejected"),
-            F.coalesce(F.sum(F.when(is_good, F.octet_length("transaction_id"))), F.lit(0)).alias(
-                "key_bytes"
-            ),
         ).first()
         good, rejects = split_valid(checked)
         if seen.rejected:
@@ -72,12 +67,9 @@ def _write_checked(
         inserted = 0
         if seen.attempted:
             raw = read_table(spark, root, "raw_transactions")
-            if horizon is not None:
-                since = datetime.now(timezone.utc) - horizon
-                raw = raw.where(F.col(INGEST_DATE) >= F.lit(since.date()))
-            fresh = append_new(
-                raw, good, "transaction_id", [F.col("_order")], key_bytes=seen.key_bytes
-            ).persist(StorageLevel.MEMORY_AND_DISK)
+            fresh = append_new(raw, good, "transaction_id", [F.col("_order")]).persist(
+                StorageLevel.MEMORY_AND_DISK
+            )
             try:
                 inserted = fresh.count()
                 if inserted:
@@ -98,14 +90,12 @@ def write_batch(
     rates: DataFrame | None = None,
     now: datetime | Column | None = None,
     order: list[Column] | None = None,
-    horizon: timedelta | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, int]:
     """Write one batch of messages; works for streams and for one-off loads.
 
-    An id already in the raw table is skipped, and of several copies in the
-    batch the first by `order` stays. With `horizon` only rows ingested that
-    recently are looked up, which bounds the work but lets older ids in again.
+    An id already in the raw table is skipped, however old, and of several
+    copies in the batch the first by `order` stays.
     Decoding is the costly part: `min_partitions` spreads the messages first, for
     sources that deliver a batch in fewer pieces than there are cores.
     """
@@ -113,31 +103,19 @@ def write_batch(
     if min_partitions is not None:
         messages = messages.repartition(min_partitions)
     checked = _check(messages, rates, order)
-    return _write_checked(spark, checked, root, stream, batch, now, horizon)
+    return _write_checked(spark, checked, root, stream, batch, now)
 
 
 def _drop_seen(checked: DataFrame) -> DataFrame:
-    """Let each transaction id through once, ever; rejects always pass.
+    """Let each valid transaction id through once, ever. Rejects always pass and leave no state."""
+    good, rejects = checked.where(F.size("reasons") == 0), checked.where(F.size("reasons") > 0)
+    return good.dropDuplicates(["transaction_id"]).unionByName(rejects)
 
-    The first step drops copies per source partition, so an id with very many
-    copies is spread over as many tasks as sent it; it forgets after a day. The
-    second step keeps every id. The watermark follows the clock and is far
-    behind it, so it never calls a row late.
-    """
-    good = F.size("reasons") == 0
-    return (
-        checked.withColumns(
-            {
-                "_id": F.when(good, F.col("transaction_id")).otherwise(F.uuid()),
-                "_part": F.spark_partition_id(),
-                "_at": F.current_timestamp(),
-            }
-        )
-        .withWatermark("_at", "1 day")
-        .dropDuplicatesWithinWatermark(["_id", "_part"])
-        .dropDuplicates(["_id"])
-        .drop("_id", "_part", "_at")
-    )
+
+def _stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The query's own id: kept over restarts, new when a checkpoint is begun anew at an old path."""
+    own = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+    return hashlib.sha256(own.encode()).hexdigest()[:12]
 
 
 def ingest(
@@ -150,22 +128,20 @@ def ingest(
     rates: DataFrame | None = None,
     now: datetime | Column | None = None,
     order: list[Column] | None = None,
-    horizon: timedelta | None = None,
     min_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the stream into `root`. One stream may write to a root at a time.
 
-    `remember` says where ids seen before are looked up, exactly and without an
-    age limit in both cases:
+    `remember` says where ids seen before are looked up. Both are exact and
+    without an age limit, over restarts, replayed batches and new checkpoints:
 
     - `table`: in the raw table. Each batch reads the id column of its history,
       without shuffling it as long as the batch is small.
-    - `state`: in the stream's state store (set RocksDB as its provider), so a
-      batch costs as much as its own ids, however long the history. It knows
-      only what this stream has seen since its checkpoint began. Of copies that
+    - `state`: in the stream's state store first (set RocksDB as its provider),
+      so copies of ids that this checkpoint has seen are not looked up. Of copies that
       differ and arrive in one batch any may stay; across batches the first
-      does. The table is then read back only for `horizon` (7 days unless
-      given), the time within which a failed batch must be run again.
+      does. What the state lets through is still looked up in the table, since
+      only the table knows of replayed batches and of other checkpoints.
 
     `on_batch` gets each batch's number and its counts of attempted, inserted
     and rejected events; with `state`, copies of earlier ids are not among the
@@ -175,19 +151,14 @@ def ingest(
     """
     if remember not in ("table", "state"):
         raise ValueError(f"remember must be 'table' or 'state', not {remember!r}")
-    # The checkpoint names the stream: the same one after a restart.
-    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def write(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
+        name = _stream_name(spark, checkpoint)
         if remember == "state":
-            counts = _write_checked(
-                spark, rows, root, name, batch, now, horizon or timedelta(days=7)
-            )
+            counts = _write_checked(spark, rows, root, name, batch, now)
         else:
-            counts = write_batch(
-                spark, rows, root, name, batch, rates, now, order, horizon, min_partitions
-            )
+            counts = write_batch(spark, rows, root, name, batch, rates, now, order, min_partitions)
         if on_batch is not None and any(counts.values()):
             on_batch(batch, counts)
 
