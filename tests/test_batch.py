@@ -141,6 +141,17 @@ def test_overlap_picks_up_rows_written_late(spark, root):
     assert sum(r.txn_count for r in T.read_table(spark, root, "dim_user").collect()) == 2
 
 
+def test_full_run_loads_late_rows_and_a_later_overlap_counts_them_once(spark, root):
+    load(spark, root, hour(5))
+    B.run_batch(spark, root, utc(2026, 5, 4, 12))
+    load(spark, root, hour(3))
+    assert B.run_batch(spark, root, utc(2026, 5, 4, 13), refresh="full").inserted == 1
+    before = contents(spark, root)
+    assert B.run_batch(spark, root, utc(2026, 5, 4, 14), overlap=timedelta(days=1)).inserted == 0
+    assert contents(spark, root) == before
+    assert sum(r.txn_count for r in T.read_table(spark, root, "dim_user").collect()) == 2
+
+
 def test_watermark_of_a_growing_table_can_be_set(spark, root):
     at = utc(2026, 5, 1, 2, 3, 4, 567891)
     T.set_watermark(spark, root, "raw_transactions", at)

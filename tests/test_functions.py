@@ -160,3 +160,8 @@ def test_calendar(spark):
     assert tuple(first) == (date(2024, 1, 1), 1, 1, 2024, 0, False)
     sunday = cal.where("date_key = '2024-02-25'").first()
     assert (sunday.weekday, sunday.is_weekend) == (6, True)
+
+
+def test_enrich_fails_without_a_rate(spark):
+    with pytest.raises(Exception, match="no rate for currency ZZZ"):
+        enrich(event(spark, {"currency": "zzz"})).collect()

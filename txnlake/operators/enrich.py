@@ -29,15 +29,18 @@ def enrich(
     """Raw rows: upper-case codes, the amount in pounds, the flag, the ingest time.
 
     The conversion uses the amount as sent; only then is the amount rounded for
-    storage. `now` fixes the ingest time; by default it is the time of the query.
+    storage. A row whose currency has no rate fails the job: validate and split first.
+    `now` fixes the ingest time; by default it is the time of the query.
     """
     if now is None:
         ingested_at = F.current_timestamp()
     else:
         ingested_at = now if isinstance(now, Column) else F.lit(now)
     rated = df if "rate" in df.columns else with_rate(df, rates)
+    no_rate = F.raise_error(F.concat(F.lit("no rate for currency "), F.coalesce("currency", F.lit("null"))))
     converted = normalise(rated).withColumn(
-        "amount_gbp", to_gbp(F.col("amount"), F.col("rate"))
+        "amount_gbp",
+        F.when(F.col("rate").isNotNull(), to_gbp(F.col("amount"), F.col("rate"))).otherwise(no_rate),
     )
     return select_raw(
         converted.withColumns(

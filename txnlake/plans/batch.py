@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -215,8 +215,9 @@ def run_batch(
 
     `overlap` reads the window again from that much earlier, for rows that were
     stamped before a run but written after it; rows already loaded stay as they
-    are. `refresh="full"` recomputes dimensions and totals from all raw and fact
-    rows instead of folding in the new ones; both give the same tables.
+    are. `refresh="full"` loads every raw row not loaded yet, late ones included, and
+    recomputes dimensions and totals from all raw and fact rows instead of folding
+    in the new ones; both give the same tables over the same rows.
     `on_violation` is `fail`, which blocks this and later runs until solved, or
     `quarantine`.
     """
@@ -237,11 +238,14 @@ def run_batch(
     loaded = versions.get(FACT, Version(0, EPOCH))
     inserted = rejected = 0
     if PENDING in versions and versions[PENDING].version > loaded.version:
-        inserted, rejected = _finish(spark, root, options, resumed=True)
+        # Its rows may be fewer than a full run would load, so they are folded in.
+        folded = replace(options, refresh="incremental")
+        inserted, rejected = _finish(spark, root, folded, resumed=True)
         loaded = current_versions(spark, root)[FACT]
     low = loaded.last_loaded
     if high > low:
-        _stage(spark, root, max(low - overlap, EPOCH), high, run_ts, options)
+        start = EPOCH if refresh == "full" else max(low - overlap, EPOCH)
+        _stage(spark, root, start, high, run_ts, options)
         more, bad = _finish(spark, root, options, resumed=False)
         inserted, rejected = inserted + more, rejected + bad
     return RunResult(low, high, inserted, rejected)

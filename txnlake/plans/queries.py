@@ -200,7 +200,8 @@ def q_dim_date_seed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feed_as_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich(feed.lineitem_feed(spark, sf), now=F.col("ingested_at"))
+    good, _ = split_valid(validate(feed.lineitem_feed(spark, sf)))
+    return enrich(good, now=F.col("ingested_at"))
 
 
 def q_dim_user(spark: SparkSession, sf: str) -> DataFrame:
