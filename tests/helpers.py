@@ -9,17 +9,17 @@ from decimal import Decimal
 from txnlake import schemas as S
 
 BASE = {
-    "transaction_id": "txn-00000001",
-    "user_id": 42,
-    "card_id": "card_99",
-    "merchant_id": 7,
-    "merchant_name": "Groceries Merchant 7",
-    "merchant_category": "Groceries",
-    "amount": "23.45",
-    "currency": "gbp",
-    "country": "gb",
+    "transaction_id": "pay-00000001",
+    "user_id": 311,
+    "card_id": "visa-3110",
+    "merchant_id": 58,
+    "merchant_name": "Harbour Bakery",
+    "merchant_category": "Restaurants",
+    "amount": "18.60",
+    "currency": "Gbp",
+    "country": "Gb",
     "status": "AUTHORISED",
-    "event_time": "2026-05-01T10:00:00+00:00",
+    "event_time": "2026-05-01T08:15:00Z",
 }
 
 

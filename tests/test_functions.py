@@ -123,10 +123,10 @@ def test_flag(spark, gbp, status, has_rate, want):
 
 
 def test_enrich_converts_and_takes_the_given_clock(spark):
-    now = utc(2026, 5, 1, 12, 0, 5)
-    out = enrich(event(spark, {"amount": Decimal("12.70"), "currency": "usd"}), now=now)
+    now = utc(2026, 5, 3, 6, 30, 1)
+    out = enrich(event(spark, {"amount": Decimal("31.75"), "currency": "usd"}), now=now)
     row = out.select("*", (F.col("ingested_at") == F.lit(now)).alias("same")).first()
-    assert row.amount_gbp == Decimal("10.00") and row.same
+    assert row.amount_gbp == Decimal("25.00") and row.same
     assert (row.currency, row.country, row.is_flagged) == ("USD", "GB", False)
 
 
@@ -140,16 +140,16 @@ def test_enrich_uses_the_amount_as_sent(spark):
 def test_daily_spend_counts_authorised_per_day_and_category(spark):
     rows = event(
         spark,
-        {"amount": Decimal("10.00")},
-        {"amount": Decimal("15.00")},
-        {"amount": Decimal("99.00"), "status": "DECLINED"},
-        {"amount": Decimal("50.00"), "merchant_category": "Travel"},
-        {"amount": Decimal("50.00"), "merchant_category": "Travel", "event_time": utc(2026, 5, 2, 9)},
+        {"amount": Decimal("4.20")},
+        {"amount": Decimal("6.35")},
+        {"amount": Decimal("71.00"), "status": "DECLINED"},
+        {"amount": Decimal("33.10"), "merchant_category": "Utilities"},
+        {"amount": Decimal("8.90"), "merchant_category": "Utilities", "event_time": utc(2026, 5, 2, 3)},
     )
     assert as_set(daily_spend_by_category(enrich(rows))) == {
-        ("2026-05-01", "Groceries", Decimal("25.00")),
-        ("2026-05-01", "Travel", Decimal("50.00")),
-        ("2026-05-02", "Travel", Decimal("50.00")),
+        ("2026-05-01", "Restaurants", Decimal("10.55")),
+        ("2026-05-01", "Utilities", Decimal("33.10")),
+        ("2026-05-02", "Utilities", Decimal("8.90")),
     }
 
 

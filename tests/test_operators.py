@@ -77,7 +77,7 @@ def test_latest_merchant_and_its_tie(spark):
         {"transaction_id": "txn-0004", "merchant_category": "D", "merchant_id": 8},
     )
     got = as_set(dims.build_dim_merchant(raw).select("merchant_id", "merchant_category"))
-    assert got == {(7, "C"), (8, "D")}
+    assert got == {(58, "C"), (8, "D")}
 
 
 def test_merchants_in_two_steps_equal_one(spark):
@@ -151,7 +151,7 @@ def test_mart_counts_and_stale_rows(spark):
     )
     first = mart.build_daily_mart(facts.to_fact(raw), dims.build_dim_merchant(raw))
     day = date(2026, 5, 1)
-    assert as_set(first) == {(day, "Groceries", Decimal("10.00"), 1, 1)}
+    assert as_set(first) == {(day, "Restaurants", Decimal("10.00"), 1, 1)}
 
     moved = raw.unionByName(
         raw_rows(
@@ -204,7 +204,7 @@ def test_gate_counts_and_raises(spark):
     with pytest.raises(quality.DataQualityError) as e:
         quality.require_passed(results)
     assert str(e.value) == (
-        "data quality checks failed -> no_null_keys: 2 rows; no_nonpositive_amounts: 2 rows; valid_status: 1 rows"
+        "raw rows break these checks: no_null_keys (2), no_nonpositive_amounts (2), valid_status (1)"
     )
     audit = quality.check_results(quality.counts_frame(spark, results), utc(2026, 5, 1))
     assert audit.select("passed", "detail").first().detail == "2 offending rows"

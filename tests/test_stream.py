@@ -38,32 +38,32 @@ def source(tmp_path):
 
 def test_stream_lands_good_events_once_and_sets_bad_ones_aside(spark, root, source):
     seen = []
-    send(spark, source, message(), message(amount="1.00", transaction_id="txn-00000002"), "junk",
-         message(transaction_id="txn-00000003", currency="ZZZ"))
+    send(spark, source, message(), message(amount="1.00", transaction_id="pay-00000002"), "junk",
+         message(transaction_id="pay-00000003", currency="ZZZ"))
     run(spark, source, root, seen)
-    assert stored(spark, root) == {"txn-00000001": "23.45", "txn-00000002": "1.00"}
+    assert stored(spark, root) == {"pay-00000001": "18.60", "pay-00000002": "1.00"}
     assert seen == [{"attempted": 2, "inserted": 2, "rejected": 2}]
     aside = T.read_table(spark, root, "rejected_events").select(F.array_join("reasons", ","))
     assert as_set(aside) == {("json",), ("unknown_currency",)}
 
     # A later file repeats an id with another amount and adds a new one.
-    send(spark, source, message(amount="99.00"), message(transaction_id="txn-00000004"))
+    send(spark, source, message(amount="99.00"), message(transaction_id="pay-00000004"))
     run(spark, source, root, seen)
-    assert stored(spark, root)["txn-00000001"] == "23.45" and len(stored(spark, root)) == 3
+    assert stored(spark, root)["pay-00000001"] == "18.60" and len(stored(spark, root)) == 3
     assert seen[-1] == {"attempted": 2, "inserted": 1, "rejected": 0}
     run(spark, source, root, seen)
     assert len(seen) == 2
 
 
 def test_replay_from_the_start_adds_nothing(spark, root, source):
-    send(spark, source, message(), message(transaction_id="txn-00000002"))
+    send(spark, source, message(), message(transaction_id="pay-00000002"))
     run(spark, source, root)
     run(spark, source, root, checkpoint="other")
     assert T.read_table(spark, root, "raw_transactions").count() == 2
 
 
 def test_batch_that_fails_after_its_write_is_safe_to_run_again(spark, root, source, monkeypatch):
-    send(spark, source, message(), message(transaction_id="txn-00000002"), "junk")
+    send(spark, source, message(), message(transaction_id="pay-00000002"), "junk")
     real = I.append_rows
 
     def write_then_die(*args):
@@ -80,7 +80,7 @@ def test_batch_that_fails_after_its_write_is_safe_to_run_again(spark, root, sour
 
 
 def test_stream_equals_one_load(spark, root, source):
-    bodies = [message(transaction_id=f"txn-{i % 7:08}", amount=str(i + 1)) for i in range(20)]
+    bodies = [message(transaction_id=f"pay-{i % 7:08}", amount=str(i + 1)) for i in range(20)]
     for part in (bodies[:9], bodies[9:]):
         send(spark, source, *part)
         run(spark, source, f"{root}/s")
@@ -96,7 +96,7 @@ def test_kafka_arrival_order_decides_between_copies(spark, root):
         "value string, partition int, offset bigint",
     )
     I.write_batch(spark, df, root, "load", 0)
-    assert stored(spark, root) == {"txn-00000001": "3.00"}
+    assert stored(spark, root) == {"pay-00000001": "3.00"}
 
 
 def test_published_events_come_back(spark, root, source, tmp_path):
@@ -104,20 +104,20 @@ def test_published_events_come_back(spark, root, source, tmp_path):
 
     publish_events(decode_events(messages(spark, message())), "json", path=source)
     line = json.loads(spark.read.text(source).first()[0])
-    assert line["key"] == "42" and json.loads(line["value"])["amount"].startswith("23.45")
+    assert line["key"] == "311" and json.loads(line["value"])["amount"].startswith("18.60")
     run(spark, source, root)
-    assert stored(spark, root) == {"txn-00000001": "23.45"}
+    assert stored(spark, root) == {"pay-00000001": "18.60"}
 
 
 def test_ids_remembered_in_state(spark, root, source, monkeypatch):
     seen = []
-    send(spark, source, message(), message(transaction_id="txn-00000002"), "junk", "junk")
+    send(spark, source, message(), message(transaction_id="pay-00000002"), "junk", "junk")
     run(spark, source, root, seen, remember="state")
     assert seen == [{"attempted": 2, "inserted": 2, "rejected": 2}]
     assert T.read_table(spark, root, "rejected_events").count() == 2
 
     # A batch that fails after its write is run again from the same state.
-    send(spark, source, message(amount="99.00"), message(transaction_id="txn-00000003"))
+    send(spark, source, message(amount="99.00"), message(transaction_id="pay-00000003"))
     real = I.append_rows
 
     def write_then_die(*args):
@@ -129,11 +129,11 @@ def test_ids_remembered_in_state(spark, root, source, monkeypatch):
         run(spark, source, root, remember="state")
     monkeypatch.setattr(I, "append_rows", real)
     run(spark, source, root, remember="state")
-    assert stored(spark, root)["txn-00000001"] == "23.45"
+    assert stored(spark, root)["pay-00000001"] == "18.60"
     assert T.read_table(spark, root, "raw_transactions").count() == 3
 
     # What the table no longer holds, the state still knows.
-    send(spark, source, message(transaction_id="txn-00000003"))
+    send(spark, source, message(transaction_id="pay-00000003"))
     run(spark, source, f"{root}", remember="state")
     assert T.read_table(spark, root, "raw_transactions").count() == 3
 
@@ -154,7 +154,7 @@ def test_new_checkpoint_over_old_rows_and_replay_with_recorded_time(spark, root,
     from datetime import datetime, timezone
 
     long_ago = datetime(2020, 1, 1, tzinfo=timezone.utc)
-    send(spark, source, message(), message(transaction_id="txn-00000002"), "junk")
+    send(spark, source, message(), message(transaction_id="pay-00000002"), "junk")
     run(spark, source, root, remember=remember, now=long_ago)
     run(spark, source, root, remember=remember, checkpoint="new")
     assert T.read_table(spark, root, "raw_transactions").count() == 2

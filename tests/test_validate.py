@@ -9,10 +9,10 @@ from txnlake.sources.events import decode_events, to_keyed_json
 
 ACCEPTED = {
     "as is": {},
-    "number as text": {"user_id": "42"},
-    "whole float": {"user_id": 42.0},
-    "whole float as text": {"merchant_id": "7.0"},
-    "amount as number": {"amount": 23.45},
+    "number as text": {"user_id": "311"},
+    "whole float": {"user_id": 311.0},
+    "whole float as text": {"merchant_id": "58.0"},
+    "amount as number": {"amount": 18.60},
     "tiny amount": {"amount": "0.001"},
     "largest amount": {"amount": "9999999999999999.99"},
     "naive time": {"event_time": "2026-05-01 10:00"},
@@ -26,7 +26,7 @@ REJECTED = {
     "id as number": ({"transaction_id": 12345678}, "transaction_id"),
     "no id": ({"transaction_id": ...}, "transaction_id"),
     "user zero": ({"user_id": 0}, "user_id"),
-    "user fraction": ({"user_id": 42.5}, "user_id"),
+    "user fraction": ({"user_id": 311.5}, "user_id"),
     "user true": ({"user_id": True}, "user_id"),
     "user too large": ({"user_id": 99999999999999999999}, "user_id"),
     "short card": ({"card_id": "c_1"}, "card_id"),
@@ -88,11 +88,11 @@ def test_split_keeps_every_row_once(spark):
 
 def test_binary_values_decode(spark):
     df = messages(spark, message()).select(F.encode("value", "UTF-8").alias("value"))
-    assert decode_events(df).first().user_id == 42
+    assert decode_events(df).first().user_id == 311
 
 
 def test_large_number_keeps_its_pence(spark):
-    body = message().replace('"23.45"', "1234567890123456.78")
+    body = message().replace('"18.60"', "1234567890123456.78")
     row = decode_events(messages(spark, body)).select(F.col("amount").cast("decimal(18,2)")).first()
     assert str(row.amount) == "1234567890123456.78"
 
@@ -100,7 +100,7 @@ def test_large_number_keeps_its_pence(spark):
 def test_round_trip(spark):
     start = decode_events(messages(spark, message(), message(event_time="2026-05-01T10:00:00.25Z")))
     sent = to_keyed_json(start)
-    assert {r.key for r in sent.collect()} == {"42"}
+    assert {r.key for r in sent.collect()} == {"311"}
     again = decode_events(sent)
     columns = list(BASE)
     assert again.select(*columns).exceptAll(start.select(*columns)).count() == 0

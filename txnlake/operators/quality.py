@@ -61,6 +61,6 @@ def counts_frame(spark: SparkSession, results: list[Row]) -> DataFrame:
 
 def require_passed(results: list[Row]) -> None:
     """Raise with every failed check named."""
-    failed = [f"{r.check_name}: {r.offending} rows" for r in results if r.offending]
+    failed = [f"{r.check_name} ({r.offending})" for r in results if r.offending]
     if failed:
-        raise DataQualityError("data quality checks failed -> " + "; ".join(failed))
+        raise DataQualityError("raw rows break these checks: " + ", ".join(failed))

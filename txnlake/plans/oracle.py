@@ -11,9 +11,9 @@ _GBP = "CAST(((200 * a + r) // (2 * r)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(
 _FEED = """feed AS (
   SELECT 'txn-' || lpad(CAST(event_id AS VARCHAR), CAST(greatest(8, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0') AS transaction_id,
     user_id,
-    'card_' || (user_id * 2 + event_id % 2) AS card_id,
+    'visa-' || user_id || '-' || event_id % 2 AS card_id,
     CAST(props->>'k' AS BIGINT) + 1 AS merchant_id,
-    category || ' Merchant ' || (CAST(props->>'k' AS BIGINT) + 1) AS merchant_name,
+    'Shop ' || (CAST(props->>'k' AS BIGINT) + 1) || ', ' || category AS merchant_name,
     category AS merchant_category,
     CAST(CAST(value AS DECIMAL(18,2)) * (CASE WHEN event_id % 10 = 0 THEN 100 ELSE 1 END) AS DECIMAL(18,2)) AS amount,
     ['GBP','usd','EUR','inr','PLN','AED','SGD','JPY','ZZZ'][event_id % 9 + 1] AS currency,
@@ -50,16 +50,20 @@ _DIM_USER = """dim_user AS (SELECT user_id, min(event_time) AS first_seen, max(e
 
 
 def _latest(name: str, source: str) -> str:
-    return f"""{name} AS (SELECT DISTINCT ON (merchant_id) merchant_id, merchant_name, merchant_category
-    FROM {source} ORDER BY merchant_id, event_time DESC, transaction_id DESC)"""
+    # text that sorts by time and then by id
+    newest = "strftime(event_time, '%Y%m%d%H%M%S%f') || transaction_id"
+    return f"""{name} AS (SELECT merchant_id, arg_max(merchant_name, {newest}) AS merchant_name,
+    arg_max(merchant_category, {newest}) AS merchant_category FROM {source} GROUP BY ALL)"""
 
 
 def _mart(name: str, fact: str, merchants: str) -> str:
-    return f"""{name} AS (SELECT date_key, merchant_category,
-    CAST(COALESCE(SUM(amount_gbp) FILTER (WHERE status = 'AUTHORISED'), 0) AS DECIMAL(18,2)) AS total_gbp,
-    COUNT(*) FILTER (WHERE status = 'AUTHORISED') AS txn_count,
-    COUNT(*) FILTER (WHERE is_flagged) AS flagged_count
-    FROM {fact} JOIN {merchants} USING (merchant_id) GROUP BY date_key, merchant_category)"""
+    # measures as numbers per fact; each fact finds its category by a look-up in a map
+    return f"""{name}_lookup AS (SELECT map_from_entries(list((merchant_id, merchant_category))) AS m FROM {merchants}),
+  {name}_measures AS (SELECT date_key, m[merchant_id] AS merchant_category, is_flagged::INT AS flag,
+    (status = 'AUTHORISED')::INT AS paid, paid * amount_gbp AS spent FROM {fact}, {name}_lookup),
+  {name} AS (SELECT date_key, merchant_category, CAST(sum(spent) AS DECIMAL(18,2)) AS total_gbp,
+    CAST(sum(paid) AS BIGINT) AS txn_count, CAST(sum(flag) AS BIGINT) AS flagged_count
+    FROM {name}_measures WHERE merchant_category IS NOT NULL GROUP BY ALL)"""
 
 
 _HALVES = """first_half AS (SELECT * FROM raw WHERE ingested_at < TIMESTAMP '2024-01-16'),
@@ -68,9 +72,9 @@ _HALVES = """first_half AS (SELECT * FROM raw WHERE ingested_at < TIMESTAMP '202
 _LI_FEED = """li_feed AS (
   SELECT 'txn-' || lpad(CAST(l_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(l_orderkey AS VARCHAR))) AS INTEGER), '0') || '-' || l_linenumber AS transaction_id,
     l_orderkey % 500 + 1 AS user_id,
-    'card_' || ((l_orderkey % 500 + 1) * 2 + l_partkey % 2) AS card_id,
+    'visa-' || (l_orderkey % 500 + 1) || '-' || l_partkey % 2 AS card_id,
     l_suppkey + 1 AS merchant_id,
-    category || ' Merchant ' || (l_suppkey + 1) AS merchant_name,
+    'Shop ' || (l_suppkey + 1) || ', ' || category AS merchant_name,
     category AS merchant_category,
     CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
     ['GBP','usd','EUR','inr','PLN','AED','SGD','JPY'][l_partkey % 8 + 1] AS currency,
@@ -122,16 +126,10 @@ _LI = (_RATES, _LI_FEED, _LI_ONCE, _li_raw("li_raw", "li_once"))
 
 
 def _checks_sql(source: str) -> str:
-    def one(name: str, bad: str) -> str:
-        return f"SELECT '{name}' AS check_name, count(*) AS n FROM {source} WHERE {bad}"
-
-    return " UNION ALL ".join(
-        [
-            one("no_null_keys", "transaction_id IS NULL OR user_id IS NULL OR merchant_id IS NULL"),
-            one("no_nonpositive_amounts", "amount <= 0"),
-            one("valid_status", "status NOT IN ('AUTHORISED','DECLINED','REVERSED')"),
-        ]
-    )
+    # one pass: what is left of all rows after the good ones
+    return f"""SELECT unnest(['valid_status', 'no_nonpositive_amounts', 'no_null_keys']) AS check_name, unnest(n) AS n FROM (
+      SELECT [count(status) - count_if(list_contains(['DECLINED','REVERSED','AUTHORISED'], status)),
+        count(amount) - count_if(amount > 0), count(*) - count(transaction_id || user_id || merchant_id)] AS n FROM {source})"""
 
 
 def _mart_at(run: int, at: str) -> str:
@@ -147,17 +145,62 @@ def _mart_at(run: int, at: str) -> str:
 
 
 _BATCH_MART = (
-    _with(*_R, _mart_at(1, "2024-01-10"), _mart_at(2, "2024-01-20"), _mart_at(3, "2024-02-01"))
+    _with(*_R, _mart_at(1, "2024-01-10"), _mart_at(2, "2024-01-20"), _mart_at(3, "9999-12-31"))
     + """SELECT date_key, merchant_category, total_gbp, txn_count, flagged_count
          FROM (SELECT 1 AS run, * FROM mart1 UNION ALL SELECT 2, * FROM mart2 UNION ALL SELECT 3, * FROM mart3)
          QUALIFY row_number() OVER (PARTITION BY date_key, merchant_category ORDER BY run DESC) = 1"""
 )
 
+# Which fault the faulty feed plants, by the event's number; mills is the amount in thousandths.
+_FAULTY = """planted AS (SELECT *, CAST(substr(transaction_id, 5) AS BIGINT) % 32 AS k FROM feed),
+  faulty AS (SELECT * REPLACE (
+      CASE k WHEN 0 THEN 'short' ELSE transaction_id END AS transaction_id,
+      CASE WHEN k = 1 THEN 0 WHEN k = 2 THEN NULL ELSE user_id END AS user_id,
+      CASE k WHEN 3 THEN 'abc' ELSE card_id END AS card_id,
+      CASE k WHEN 4 THEN -merchant_id ELSE merchant_id END AS merchant_id,
+      CASE k WHEN 5 THEN '' ELSE merchant_name END AS merchant_name,
+      CASE k WHEN 6 THEN NULL ELSE merchant_category END AS merchant_category,
+      CASE WHEN k = 9 THEN 'G8P' WHEN k = 10 THEN 'QQQ' ELSE currency END AS currency,
+      CASE k WHEN 11 THEN 'GBR' ELSE country END AS country,
+      CASE k WHEN 12 THEN 'pending' ELSE status END AS status,
+      CASE k WHEN 13 THEN NULL ELSE event_time END AS event_time),
+    CASE WHEN k = 7 THEN 0 WHEN k = 8 THEN NULL
+      WHEN k = 17 THEN CAST(amount * 1000 AS BIGINT) + 5 ELSE CAST(amount * 1000 AS BIGINT) END AS mills FROM planted)"""
+
+_FAULTY_CHECKED = """faulty_checked AS (SELECT f.*, r.r, CASE WHEN k IN (14, 15) THEN ['json'] ELSE list_filter([
+      CASE WHEN length(f.transaction_id) < 8 THEN 'transaction_id' END,
+      CASE WHEN f.user_id IS NULL OR f.user_id <= 0 THEN 'user_id' END,
+      CASE WHEN length(f.card_id) < 4 THEN 'card_id' END,
+      CASE WHEN f.merchant_id <= 0 THEN 'merchant_id' END,
+      CASE WHEN f.merchant_name = '' THEN 'merchant_name' END,
+      CASE WHEN f.merchant_category IS NULL THEN 'merchant_category' END,
+      CASE WHEN f.mills IS NULL OR f.mills <= 0 THEN 'amount' END,
+      CASE WHEN NOT regexp_full_match(f.currency, '[A-Za-z]{3}') THEN 'currency' END,
+      CASE WHEN NOT regexp_full_match(f.country, '[A-Za-z]{2}') THEN 'country' END,
+      CASE WHEN f.status NOT IN ('AUTHORISED','DECLINED','REVERSED') THEN 'status' END,
+      CASE WHEN f.event_time IS NULL THEN 'event_time' END,
+      CASE WHEN r.r IS NULL AND regexp_full_match(f.currency, '[A-Za-z]{3}') THEN 'unknown_currency' END],
+      lambda x: x IS NOT NULL) END AS reasons
+  FROM faulty f LEFT JOIN rates r ON r.currency = upper(f.currency))"""
+
+# Half-up from thousandths, for what is stored and what it is worth.
+_MILLS_AMOUNT = "CAST(((mills + 5) // 10) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2))"
+_MILLS_GBP = "CAST(((20 * mills + r) // (2 * r)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2))"
+
 _RAW_SELECT = _with(*_R) + "SELECT * FROM raw"
 _MART_SELECT = _with(*_M) + "SELECT * FROM mart"
 _DIM_USER_SELECT = _with(*_R, _DIM_USER) + "SELECT * FROM dim_user"
 
 
+_STREAMED = _with(
+    _RATES,
+    _LI_FEED,
+    f"""sent AS (SELECT * FROM li_feed
+        QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY ingested_at, {_JSON}) = 1)""",
+    _li_raw("li_raw", "sent"),
+)
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "reject_counts": _with(*_C)
@@ -261,11 +304,10 @@ def all_oracles() -> dict[str, str]:
         "daily_spend_travel": _MART_SELECT
         + " WHERE merchant_category = 'Travel' ORDER BY date_key DESC LIMIT 5",
         "top_merchants": _with(*_M)
-        + """SELECT f.merchant_id, m.merchant_name, m.merchant_category,
-             CAST(sum(f.amount_gbp) AS DECIMAL(18,2)) AS total_gbp, count(*) AS txn_count
-             FROM fact f JOIN dim_merchant m ON f.merchant_id = m.merchant_id WHERE f.status = 'AUTHORISED'
-             GROUP BY f.merchant_id, m.merchant_name, m.merchant_category
-             ORDER BY total_gbp DESC, f.merchant_id LIMIT 10""",
+        + """, paid AS (SELECT merchant_id, CAST(sum(amount_gbp) AS DECIMAL(18,2)) AS total_gbp, count(*) AS txn_count
+               FROM fact WHERE status = 'AUTHORISED' GROUP BY ALL),
+             placed AS (SELECT *, row_number() OVER (ORDER BY total_gbp DESC, merchant_id) AS place FROM paid)
+             SELECT dim_merchant.*, total_gbp, txn_count FROM placed JOIN dim_merchant USING (merchant_id) WHERE place <= 10""",
         "freshness": _with(*_R) + "SELECT count(*) AS row_count, max(ingested_at) AS last_ingested_at FROM raw",
         "weekly_top_categories": _with(*_M)
         + """SELECT merchant_category, CAST(sum(total_gbp) AS DECIMAL(18,2)) AS weekly_gbp FROM mart
@@ -277,16 +319,31 @@ def all_oracles() -> dict[str, str]:
         + """SELECT transaction_id, user_id, amount_gbp, currency, event_time FROM raw WHERE is_flagged
              ORDER BY amount_gbp DESC, transaction_id LIMIT 10""",
         "mart_top": _MART_SELECT + " ORDER BY date_key DESC, total_gbp DESC, merchant_category LIMIT 10",
+        "reject_counts_faulty": _with(_RATES, _FEED, _FAULTY, _FAULTY_CHECKED)
+        + "SELECT reason, count(*) AS rejected FROM (SELECT unnest(reasons) AS reason FROM faulty_checked) GROUP BY reason",
+        "decode_coercion": _with(_RATES, _FEED, _FAULTY, _FAULTY_CHECKED)
+        + f"""SELECT transaction_id, user_id, card_id, merchant_id, merchant_name, merchant_category,
+             {_MILLS_AMOUNT} AS amount, upper(currency) AS currency, {_MILLS_GBP} AS amount_gbp, upper(country) AS country,
+             status, {_MILLS_GBP} >= 5000 AS is_flagged, event_time, TIMESTAMP '2030-01-01' AS ingested_at
+             FROM faulty_checked WHERE len(reasons) = 0""",
+        "stream_rejects": _with(_RATES, _FEED, _FAULTY, _FAULTY_CHECKED)
+        + """SELECT array_to_string(reasons, ',') AS reasons, count(*) AS n FROM faulty_checked
+             WHERE len(reasons) > 0 GROUP BY ALL""",
+        "stream_replay": _STREAMED + "SELECT * REPLACE (TIMESTAMP '2020-01-01' AS ingested_at) FROM li_raw",
+        "stream_replay_state": _STREAMED + "SELECT transaction_id, CAST(1 AS BIGINT) AS n_rows FROM li_raw",
+        "dq_history_stored": _with(*_R)
+        + "SELECT run_ts, check_name, n = 0 AS passed, n || ' offending rows' AS detail FROM ("
+        + " UNION ALL ".join(
+            f"SELECT TIMESTAMP '{at}' AS run_ts, * FROM ("
+            + _checks_sql(f"(SELECT * FROM raw WHERE ingested_at <= TIMESTAMP '{at}')")
+            + ")"
+            for at in ("2024-01-10", "2024-01-20", "2024-02-01")
+        )
+        + ")",
+        "batch_late_rows": _DIM_USER_SELECT,
         "stream_ingest": _RAW_SELECT,
         "stream_state": _RAW_SELECT,
-        "stream_dedup": _with(
-            _RATES,
-            _LI_FEED,
-            f"""sent AS (SELECT * FROM li_feed
-                QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY ingested_at, {_JSON}) = 1)""",
-            _li_raw("li_raw", "sent"),
-        )
-        + "SELECT * REPLACE (TIMESTAMP '2030-01-01' AS ingested_at) FROM li_raw",
+        "stream_dedup": _STREAMED + "SELECT * REPLACE (TIMESTAMP '2030-01-01' AS ingested_at) FROM li_raw",
         "stream_mart": _MART_SELECT,
         "fact_incremental": _with(*_F) + "SELECT * FROM fact",
         "batch_dim_user": _DIM_USER_SELECT,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +45,11 @@ def _utc(*args: int) -> datetime:
 
 # Ingest times at which the queries cut the feeds.
 EVENTS_CUT = _utc(2024, 1, 16)
-EVENTS_CUTS = (_utc(2024, 1, 10), _utc(2024, 1, 20), _utc(2024, 2, 1))
+EVENTS_CUTS = (_utc(2024, 1, 10), _utc(2024, 1, 20))
+RUN_TIMES = (*EVENTS_CUTS, _utc(2024, 2, 1))
 LINEITEM_CUT = _utc(2026, 1, 1)
 LINEITEM_LANDED = _utc(2030, 1, 1)
+LONG_AGO = _utc(2020, 1, 1)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -78,6 +80,12 @@ def _raw(spark: SparkSession, sf: str) -> DataFrame:
     return enrich(good, now=F.col("ingested_at"))
 
 
+def _ends(raw: DataFrame) -> tuple[datetime, ...]:
+    """Upper ends of three runs; the last takes all there is."""
+    last = raw.agg(F.unix_micros(F.max("ingested_at"))).first()[0] or 0
+    return (*EVENTS_CUTS, max(tables.EPOCH + timedelta(microseconds=last), EVENTS_CUTS[-1] + timedelta(days=1)))
+
+
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
     return FT.to_fact(_raw(spark, sf))
 
@@ -309,7 +317,7 @@ def q_dq_history(spark: SparkSession, sf: str) -> DataFrame:
     raw = _events(spark, sf)
     runs = [
         Q.check_results(Q.quality_counts(FT.raw_window(raw, tables.EPOCH, at)), at)
-        for at in EVENTS_CUTS
+        for at in RUN_TIMES
     ]
     return R.dq_history(runs[0].unionByName(runs[1]).unionByName(runs[2]), 5)
 
@@ -411,41 +419,132 @@ def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_stream_mart(spark: SparkSession, sf: str) -> DataFrame:
     root = _stream(spark, sf, "events")
-    run_batch(spark, root, EVENTS_CUTS[-1])
+    run_batch(spark, root, _ends(tables.read_table(spark, root, "raw_transactions"))[-1])
     return tables.read_table(spark, root, "daily_spend_by_category")
 
 
 def _batch(
-    spark: SparkSession, raw: DataFrame, highs: tuple[datetime, ...], **options: str
+    spark: SparkSession, raw: DataFrame, first: int = 0, **options: str
 ) -> str:
+    """Land all rows and run up to each end from the `first`; returns the tables' root."""
     root = scratch_dir(spark, "batch")
     tables.append_rows(raw, root, "raw_transactions")
-    for high in highs:
+    for high in _ends(tables.read_table(spark, root, "raw_transactions"))[first:]:
         run_batch(spark, root, high, **options)
     return root
 
 
 def q_fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    root = _batch(spark, _raw(spark, sf), EVENTS_CUTS)
+    root = _batch(spark, _raw(spark, sf))
     return tables.read_table(spark, root, "fact_transaction")
 
 
 def q_batch_dim_user(spark: SparkSession, sf: str) -> DataFrame:
-    root = _batch(spark, _raw(spark, sf), EVENTS_CUTS)
+    root = _batch(spark, _raw(spark, sf))
     return tables.read_table(spark, root, "dim_user")
 
 
 def q_batch_mart(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs; rows of categories that merchants have since left stay."""
-    root = _batch(spark, _raw(spark, sf), EVENTS_CUTS)
+    root = _batch(spark, _raw(spark, sf))
     return tables.read_table(spark, root, "daily_spend_by_category")
 
 
 def q_batch_mart_full(spark: SparkSession, sf: str) -> DataFrame:
-    root = _batch(spark, _raw(spark, sf), EVENTS_CUTS[1:], mart_mode="rebuild", refresh="full")
+    root = _batch(spark, _raw(spark, sf), 1, mart_mode="rebuild", refresh="full")
     return tables.read_table(spark, root, "daily_spend_by_category")
 
 
+def q_batch_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that land after the run their stamp belongs to: a full run loads them, an overlap no second time."""
+    raw = _raw(spark, sf)
+    late = F.pmod(F.xxhash64("transaction_id"), F.lit(7)) == 0
+    root = scratch_dir(spark, "late")
+    tables.append_rows(raw.where(~late), root, "raw_transactions")
+    ends = _ends(raw)
+    run_batch(spark, root, ends[0])
+    tables.append_rows(raw.where(late), root, "raw_transactions")
+    run_batch(spark, root, ends[1], refresh="full")
+    run_batch(spark, root, ends[2], overlap=ends[2] - ends[0] + timedelta(days=30))
+    return tables.read_table(spark, root, "dim_user")
+
+
+def q_dq_history_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit log that three runs have written."""
+    root = scratch_dir(spark, "audit")
+    tables.append_rows(_raw(spark, sf), root, "raw_transactions")
+    for at in RUN_TIMES:
+        run_batch(spark, root, at, run_ts=at)
+    return R.dq_history(tables.read_table(spark, root, "dq_check_log"), 9)
+
+
+# ---- faults, replays, restarts ---------------------------------------------
+
+
+def _faulty(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages as they would be read: stored, so that decoding starts from a column."""
+    return _written(spark, feed.faulty_messages(spark.read.parquet(f"{sf}/events.parquet")), "faulty")
+
+
+def q_reject_counts_faulty(spark: SparkSession, sf: str) -> DataFrame:
+    _, rejects = split_valid(validate(decode_events(_faulty(spark, sf))))
+    return reject_counts(rejects)
+
+
+def q_decode_coercion(spark: SparkSession, sf: str) -> DataFrame:
+    """Unusual but good forms: text for numbers, a third decimal, other zones and none."""
+    good, _ = split_valid(validate(decode_events(_faulty(spark, sf))))
+    return enrich(good, now=LINEITEM_LANDED).select(*RAW_COLUMNS)
+
+
+def _send_and_ingest(
+    messages: DataFrame, source: str, root: str, checkpoint: str, remember: str, now: datetime | None = None
+) -> None:
+    """Append messages to the source, then take what is new there."""
+    spark = messages.sparkSession
+    messages.write.mode("append").parquet(source)
+    ingest(
+        spark.readStream.schema(messages.schema).parquet(source),
+        root,
+        f"{root}/{checkpoint}",
+        {"availableNow": True},
+        now=now or F.col("ingested_at"),
+        order=[F.col("ingested_at"), F.col("value")],
+        remember=remember,
+    ).awaitTermination()
+
+
+def q_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored rejects, by their reasons."""
+    root = scratch_dir(spark, "rejects")
+    _send_and_ingest(_faulty(spark, sf), f"{root}/_source", root, "_checkpoint", "state")
+    stored = tables.read_table(spark, root, "rejected_events")
+    return stored.groupBy("reasons").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _replayed(spark: SparkSession, sf: str, modes: tuple[str, str]) -> DataFrame:
+    """Raw rows after a stream with restarts, a repeated part and then a second checkpoint over all of it."""
+    sent = to_keyed_json(feed.lineitem_feed(spark, sf), "ingested_at")
+    at = F.col("ingested_at")
+    cuts = [F.lit(_utc(2025, 1, 1)), F.lit(_utc(2027, 1, 1))]
+    parts = [sent.where(at < cuts[0]), sent.where((at >= cuts[0]) & (at < cuts[1])), sent.where(at >= cuts[1])]
+    root = scratch_dir(spark, "replay")
+    for part in (*parts, parts[0]):
+        _send_and_ingest(part, f"{root}/_source", root, "_first", modes[0], LONG_AGO)
+    _send_and_ingest(parts[1], f"{root}/_source", root, "_second", modes[1], LONG_AGO)
+    return tables.read_table(spark, root, "raw_transactions").select(*RAW_COLUMNS)
+
+
+def q_stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    return _replayed(spark, sf, ("table", "state"))
+
+
+def q_stream_replay_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Which of several copies in one batch stays is open in this mode, so ids are counted."""
+    rows = _replayed(spark, sf, ("state", "table"))
+    return rows.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def all_queries() -> dict[str, Query]:
     def plain(query: Query) -> Query:
         return lambda spark, sf: _plain(query(use_utc(spark), sf))
