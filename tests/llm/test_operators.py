@@ -156,6 +156,30 @@ def test_wordpiece_counts(docs):
     assert counts[5] == counts[6] == counts[7] == 0 and counts[11] == 60_000
 
 
+def test_wordpiece_counts_of_long_words(spark):
+    """Words of every length against taking the longest piece off the front again and again."""
+    start, more = wordpiece.read_vocabulary(open(wordpiece.VOCABULARY).read().splitlines())
+    start, more = set(start), set(more)
+    longest = max(map(len, start | more))
+
+    def greedy(word):
+        at = n = 0
+        while at < len(word):
+            pieces = more if at else start
+            at += next(k for k in range(longest, 0, -1) if word[at : at + k] in pieces and at + k <= len(word))
+            n += 1
+        return n
+
+    rng = np.random.default_rng(4)
+    letters = list("abcdefghijklmnopqrstuvwxyz0123456789")
+    long = ["今日は天気がいいから散歩に行きましょう" * 9, "ab" * 50_000, "0123456789abcdef" * 40] + ["".join(rng.choice(letters, n)) for n in (199, 200, 201, 202, 5000)]
+    many = ["".join(rng.choice(letters, 150 + i)) for i in range(200)]
+    texts = [*long, " ".join(many), " ".join([*many, *long, "short words"])]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.n_tokens for r in wordpiece.count_tokens(table).collect()}
+    assert got == {i: sum(greedy(w.encode()) for w in t.split()) for i, t in enumerate(texts)}
+
+
 def test_revisits(spark):
     rows = [
         (1, "http://www.Ex.com/a/#x", 10, "response", {"ETag": "v1", "Server": "s"}), (2, "https://ex.com/a?utm_x=1", 20, "revisit", {"etag": 'W/v1', "Date": "d", "Server": "no"}),

@@ -8,11 +8,13 @@ built. The count is the number of pieces that greedy longest-match-first gives,
 1 if some rest of the word matches nothing (the unknown token).
 
 All words of a batch that differ are read side by side, one byte at a time, as
-array operations; repeated words are counted once and looked up.
+array operations; repeated words are counted once and looked up. Once fewer than SIDE words
+are left, each is read to its end by itself, from the node and count it has reached, so a very
+long word costs one step of a loop for each byte and no array operation.
 
 Words are runs of bytes between blanks; a run is cut before and after each ASCII
-punctuation mark, which is a word itself. Null and empty texts have 0 tokens. A word
-longer than LONGEST bytes is one unknown token, as usual for word pieces.
+punctuation mark, which is a word itself. Null and empty texts have 0 tokens. Words of
+every length are read.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from pyspark.sql import types as T
 
 from txnlake.llm.hashing import IS_BLANK, chunks, running_hash, span_hash
 
-LONGEST = 200
+#: Fewer words than this are not worth array operations.
+SIDE = 64
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 _BYTES = np.arange(256)
 _MARK = ((_BYTES >= 33) & (_BYTES <= 47)) | ((_BYTES >= 58) & (_BYTES <= 64)) | ((_BYTES >= 91) & (_BYTES <= 96)) | ((_BYTES >= 123) & (_BYTES <= 126))
@@ -86,12 +89,27 @@ class Automaton:
         self.keys = keys[order]
         self.next = np.array([c for s in steps for c in s.values()] or [0], np.int32)[order]
         self.link, self.popped = np.array(link, np.int32), np.array(popped, np.int32)
+        self._plain: tuple[dict[int, int], list[int], list[int]] | None = None
 
     def _step(self, nodes: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
         key = nodes.astype(np.int64) * 256 + bytes_
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.next[at], -1)
 
+    def _read_on(self, data: bytes, node: int, count: int) -> tuple[int, int]:
+        """(node, count) after the bytes of the rest of one word."""
+        if self._plain is None:
+            self._plain = dict(zip(self.keys.tolist(), self.next.tolist(), strict=True)), self.link.tolist(), self.popped.tolist()
+        steps, link, popped = self._plain
+        for byte in data:
+            while (to := steps.get(node * 256 + byte)) is None:
+                count += popped[node]
+                node = link[node]
+                if node < 0:
+                    return node, count
+            node = to
+        return node, count
+
     def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Pieces of each word: spans of data, none of them empty."""
         length = ends - starts
@@ -100,6 +118,11 @@ class Automaton:
         node, count = np.zeros(len(order), np.int32), np.zeros(len(order), np.int32)
         for i in range(int(length[0]) if len(length) else 0):
             live = np.searchsorted(-length, -i)  # words longer than i
+            if live < SIDE:
+                for j in np.flatnonzero(node[:live] >= 0):
+                    rest = data[begin[j] + i : begin[j] + length[j]].tobytes()
+                    node[j], count[j] = self._read_on(rest, int(node[j]), int(count[j]))
+                break
             todo = np.flatnonzero(node[:live] >= 0)
             while len(todo):
                 step = self._step(node[todo], data[begin[todo] + i])
@@ -151,11 +174,11 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY, column: str = "n
                 if not len(starts):
                     continue
                 hashes, at, back = np.unique(span_hash(running_hash(data, keep), starts, ends), return_index=True, return_inverse=True)
-                counts = np.ones(len(hashes), np.int32)
+                counts = np.zeros(len(hashes), np.int32)
                 place = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
                 old = known[place] == hashes if len(known) else np.zeros(len(hashes), np.bool_)
                 counts[old] = known_counts[place[old]]
-                new = np.flatnonzero(~old & (ends[at] - starts[at] <= LONGEST))
+                new = np.flatnonzero(~old)
                 counts[new] = shared.value.counts(data, starts[at[new]], ends[at[new]])
                 if len(known) < REMEMBERED and len(new):
                     known, known_counts = np.concatenate([known, hashes[new]]), np.concatenate([known_counts, counts[new]])
