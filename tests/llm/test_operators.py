@@ -67,6 +67,23 @@ def test_compact_windows_hold_every_passage():
         assert ((left <= i) & (right >= i + 7) & (centre >= i) & (centre <= i + 7)).sum() == 1
 
 
+def test_passages_of_many_edited_copies(spark):
+    """Over 40 documents share a passage, each with another word in its middle: brute force finds all pairs."""
+    rng = np.random.default_rng(5)
+    passage = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(100):
+        copy = [*passage]
+        copy[30] = f"edit{i}"
+        around = [f"r{x}" for x in rng.integers(0, 10**9, 240)]
+        texts.append(" ".join([*around[:120], *copy, *around[120:]]))
+    sets = [shingle_set(" ".join(t.split()[120:180])) for t in texts]
+    assert all(10 * len(a & b) >= 8 * len(a | b) for a in sets for b in sets)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in passages.repeated_passages(table).collect()}
+    assert got == {i: [(120, 180)] for i in range(100)}
+
+
 def test_quality(spark, docs):
     rows = [(100 + i, ("good calm words here " if i % 2 else "JUNK!! ### JUNK!! ") * 9, i % 2) for i in range(200)]
     table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
