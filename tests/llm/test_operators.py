@@ -84,6 +84,29 @@ def test_passages_of_many_edited_copies(spark):
     assert got == {i: [(120, 180)] for i in range(100)}
 
 
+def test_passages_beside_shared_phrases():
+    """A passage with one edit and a shared phrase on each side, five to fifteen shingles away, is found."""
+    near = np.arange(60, dtype=np.uint64)
+    for gap in (0, 5, 10, 15):
+        fresh = iter(range(1000, 10**6))
+        some = lambda n: np.array([next(fresh) for _ in range(n)], np.uint64)  # noqa: B023, E731
+        texts, at = [], 40 + 1 + gap
+        for edit in (0, 1):
+            own = near.copy()
+            if edit:
+                own[28:33] = some(5)
+            texts.append(np.concatenate([some(40), [np.uint64(900)], some(gap), own, some(gap), [np.uint64(901)], some(40)]))
+        whole = (0, len(texts[0]) - 1)
+        found = passages.shared_passages(*texts, [(*whole, *whole)], 46)
+        assert any(x <= at and y >= at + 59 and u <= at and v >= at + 59 for x, y, u, v in found)
+        for x, y, u, v in found:
+            p, q = set(texts[0][x : y + 1].tolist()), set(texts[1][u : v + 1].tolist())
+            assert min(y - x, v - u) >= 45 and 10 * len(p & q) >= 8 * len(p | q)
+    # a passage that the second text holds twice is found at both places
+    one, two = near, np.concatenate([near, some(200), near])
+    assert {f[2:] for f in passages.shared_passages(one, two, [(0, 59, 0, 100), (0, 59, 200, 319)], 46)} == {(0, 59), (260, 319)}
+
+
 def test_quality(spark, docs):
     rows = [(100 + i, ("good calm words here " if i % 2 else "JUNK!! ### JUNK!! ") * 9, i % 2) for i in range(200)]
     table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
