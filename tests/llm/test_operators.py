@@ -107,6 +107,24 @@ def test_passages_beside_shared_phrases():
     assert {f[2:] for f in passages.shared_passages(one, two, [(0, 59, 0, 100), (0, 59, 200, 319)], 46)} == {(0, 59), (260, 319)}
 
 
+def test_passages_that_leaders_do_not_share(spark):
+    """Two texts share a passage, ten others lead with a quote of it that is too short, and other texts share what stands beside it."""
+    rng = np.random.default_rng(6)
+    some = lambda n: [f"r{x}" for x in rng.integers(0, 10**9, n)]
+    texts, want = [], {}
+    for _ in range(8):
+        shared, notices = some(60), (some(60), some(60))
+        for notice in notices:
+            want[len(texts)] = [(30, 150)]
+            texts.append([*some(30), *notice, *shared, *some(30)])
+            want[len(texts)] = [(30, 90)]
+            texts.append([*some(30), *notice, *some(30)])
+        texts += [[*some(30), *shared[6:54], *some(30)] for _ in range(10)]
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    # quotes of 48 words share no passage of 50
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in passages.repeated_passages(table).collect()} == want
+
+
 def test_quality(spark, docs):
     rows = [(100 + i, ("good calm words here " if i % 2 else "JUNK!! ### JUNK!! ") * 9, i % 2) for i in range(200)]
     table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
