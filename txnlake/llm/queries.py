@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import embeddings, jaccard, language, mixing, passages, quality, secrets, templates, warc, wordpiece
+from txnlake.llm import audit, embeddings, jaccard, language, mixing, passages, quality, secrets, templates, warc, wordpiece
 from txnlake.llm.tables import load
 
 
@@ -146,6 +146,59 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", spans.alias("spans"), "n_words", "with_doc")
 
 
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each language, in every order of applying them."""
+    counts = audit.failure_counts(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return audit.audit(counts)
+
+
+FILTER_AUDIT_SQL = """
+with recursive marks as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels where doc_id is not null group by doc_id
+),
+texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as body,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words from documents
+),
+firsts as (select body, min(doc_id) as least from texts group by body),
+judged as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+    (case when len(words) < 200 then 'A' else '' end)
+    || (case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' else '' end)
+    || (case when 100 * length(regexp_replace(texts.body, '[^A-Z]', '', 'g')) > 3 * length(texts.body) then 'C' else '' end)
+    || (case when regexp_matches(texts.body, '[#$%&*|]') then 'D' else '' end)
+    || (case when texts.doc_id > least then 'E' else '' end) as failed
+  from texts join firsts on firsts.body = texts.body left join marks on marks.doc_id = texts.doc_id
+),
+kinds as (select part, failed, count(*) as n, sum(good) as good, sum(toxic) as toxic from judged group by part, failed),
+orders as (
+  select '' as filter_order
+  union all
+  select filter_order || f from orders, (select unnest(['A', 'B', 'C', 'D', 'E']) as f) as letters where not contains(filter_order, f)
+),
+steps as (
+  select filter_order, step, substr(filter_order, step, 1) as f, substr(filter_order, 1, step - 1) as earlier
+  from orders, (select unnest(range(1, 6))::int as step) as numbers where length(filter_order) = 5
+),
+met as (
+  select part, filter_order, step, f, failed, n, good, toxic, contains(failed, f) as fails,
+    earlier <> '' and regexp_matches(failed, '[' || earlier || '0]') as gone from kinds, steps
+),
+told as (
+  select part, filter_order, step, f,
+    sum(case when not gone and not fails then n else 0 end)::bigint as kept,
+    sum(case when not gone and fails then n else 0 end)::bigint as removed,
+    sum(case when gone and fails then n else 0 end)::bigint as redundant,
+    sum(case when failed = f then n else 0 end)::bigint as unique_fails,
+    sum(case when not gone and fails then good else 0 end)::bigint as good_lost,
+    sum(case when not gone and fails then toxic else 0 end)::bigint as toxic_lost
+  from met group by part, filter_order, step, f
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, f))::bigint as shapley from told
+"""
+
 POISSON_MIX_SQL = f"""
 with sizes as (select source, count(*) as n from documents group by source),
 totals as (select sum(n) as rows_all, sum(pow(n, {mixing.POWER})) as weight_all from sizes),
@@ -179,8 +232,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeated_passages": repeated_passages,
         "op9_benchmark_templates": benchmark_templates,
         "op10_quality": quality_scores,
+        "op11_filter_audit": filter_audit,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_revisits": REVISITS_SQL, "op4_poisson_mix": POISSON_MIX_SQL}
+    return {"op1_revisits": REVISITS_SQL, "op4_poisson_mix": POISSON_MIX_SQL, "op11_filter_audit": FILTER_AUDIT_SQL}
