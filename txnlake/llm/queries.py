@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import audit, embeddings, jaccard, language, mixing, passages, quality, secrets, templates, warc, wordpiece
+from txnlake.llm import audit, embeddings, importance, jaccard, language, mixing, passages, quality, secrets, templates, warc, wordpiece
 from txnlake.llm.tables import load
 
 
@@ -152,6 +152,12 @@ def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(counts)
 
 
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a sample that looks like the benchmark."""
+    drawn = importance.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 FILTER_AUDIT_SQL = """
 with recursive marks as (
   select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
@@ -233,6 +239,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_benchmark_templates": benchmark_templates,
         "op10_quality": quality_scores,
         "op11_filter_audit": filter_audit,
+        "op12_importance_resampling": importance_resampling,
     }
 
 
