@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlake.llm import audit, embeddings, importance, jaccard, language, mixing, passages, quality, secrets, templates, warc, wordpiece
+from txnlake.llm import audit, chat, embeddings, importance, jaccard, language, mixing, passages, quality, secrets, templates, warc, wordpiece
 from txnlake.llm.tables import load
 
 
@@ -158,6 +158,42 @@ def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+#: A conversation of the query's own, whose texts are made of control strings.
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of all conversations, read back from their formatted examples."""
+    talks = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.examples(talks.unionByName(more)))
+
+
+CHAT_EXAMPLES_SQL = r"""
+with asked as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as body from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, body) as place,
+    row_number() over (partition by conv_id order by turn desc nulls last, role desc, body desc) as back,
+    length(regexp_replace(body, '(<\\*(s>|/s>|<SYS>>|</SYS>>)|\[\\*(INST\]|/INST\]))', '\1.', 'g'))
+    + case role when 'system' then 15 when 'user' then 15 when 'assistant' then 4
+      else 11 + length(regexp_replace(role, '(<\\*(s>|/s>|<SYS>>|</SYS>>)|\[\\*(INST\]|/INST\]))', '\1.', 'g')) end as size
+  from asked
+),
+added as (select *, sum(size) over (partition by conv_id order by place) as upto from sized)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || body || chr(10), '' order by place)) as turns_sha256,
+  coalesce(sum(length(body)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(body, '' order by place) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(case when role = 'assistant' or back = 1 then upto else 0 end)::bigint as formatted_chars,
+  count(*) filter (where role = 'assistant' or back = 1) as n_examples
+from added group by conv_id
+"""
+
+
 FILTER_AUDIT_SQL = """
 with recursive marks as (
   select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
@@ -240,8 +276,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality": quality_scores,
         "op11_filter_audit": filter_audit,
         "op12_importance_resampling": importance_resampling,
+        "op13_chat_examples": chat_examples,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_revisits": REVISITS_SQL, "op4_poisson_mix": POISSON_MIX_SQL, "op11_filter_audit": FILTER_AUDIT_SQL}
+    return {"op1_revisits": REVISITS_SQL, "op4_poisson_mix": POISSON_MIX_SQL, "op11_filter_audit": FILTER_AUDIT_SQL, "op13_chat_examples": CHAT_EXAMPLES_SQL}
