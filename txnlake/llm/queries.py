@@ -158,6 +158,47 @@ def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+IMPORTANCE_SQL = r"""
+with crc as (
+  select list(list_reduce(list_prepend(b, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by b) as t
+  from range(256) r(b)
+),
+texts as (
+  select row_number() over () as id, own, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from (select true as own, doc_id, text from documents union all select false, null, text from benchmark)
+),
+features as (
+  select id, own, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) as f from texts
+),
+counted as (select id, own, f, count(*) as n from features group by all),
+bytes as (
+  select f, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint) as b from (select distinct f, hex(f) as h from counted)
+),
+placed as (
+  select f, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 as bucket
+  from bytes, crc
+),
+found as (select id, own, bucket, sum(n)::bigint as n from counted join placed using (f) group by all),
+totals as (
+  select bucket, coalesce(sum(n) filter (where own), 0) as s, coalesce(sum(n) filter (where not own), 0) as t from found group by bucket
+),
+sums as (select sum(s)::double as all_s, sum(t)::double as all_t from totals),
+gains as (select bucket, floor(1000 * ln((t + 1.0::double) * (all_s + 10000) / ((s + 1.0::double) * (all_t + 10000))))::bigint as gain from totals, sums),
+sized as (select id, sum(n)::bigint as n_features, floor(sum(n * gain)::double / sum(n))::bigint as weight from found join gains using (bucket) where own group by id),
+scored as (
+  select texts.id, doc_id, len(words) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, 'null')), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score
+  from texts left join sized on sized.id = texts.id where own
+),
+places as (
+  select id, row_number() over (order by score desc, doc_id nulls last, n_words, n_features, weight) as place, count(*) over () * 25 // 100 as drawn
+  from scored where n_words >= 20
+)
+select doc_id, n_features, weight, score, case when place <= drawn then place end as rank
+from scored left join places on places.id = scored.id
+"""
+
 #: A conversation of the query's own, whose texts are made of control strings.
 CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -281,4 +322,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_revisits": REVISITS_SQL, "op4_poisson_mix": POISSON_MIX_SQL, "op11_filter_audit": FILTER_AUDIT_SQL, "op13_chat_examples": CHAT_EXAMPLES_SQL}
+    return {"op1_revisits": REVISITS_SQL, "op4_poisson_mix": POISSON_MIX_SQL, "op11_filter_audit": FILTER_AUDIT_SQL, "op12_importance_resampling": IMPORTANCE_SQL, "op13_chat_examples": CHAT_EXAMPLES_SQL}
