@@ -1,4 +1,3 @@
-from datetime import timedelta
 from decimal import Decimal
 
 import pytest
@@ -7,12 +6,13 @@ from helpers import as_set, raw_rows, utc
 from txnlake.operators.quality import DataQualityError
 from txnlake.plans import batch as B
 from txnlake.sources import tables as T
+from txnlake.sources.landing import land
 
 TABLES = ("dim_user", "dim_merchant", "fact_transaction", "daily_spend_by_category")
 
 
 def load(spark, root, *rows):
-    T.append_rows(raw_rows(spark, *rows), root, "raw_transactions")
+    land(raw_rows(spark, *rows), root)
 
 
 def contents(spark, root):
@@ -85,8 +85,8 @@ def test_date_outside_the_calendar_blocks_or_is_set_aside(spark, root):
     assert (result.inserted, result.rejected) == (1, 1)
     aside = T.read_table(spark, root, "fact_rejected").collect()
     assert [(r.transaction_id, r.missing) for r in aside] == [("txn-00002", ["date_key"])]
-    # Read again by an overlapping window, the row stays aside and is not counted twice.
-    B.run_batch(spark, root, utc(2026, 5, 7), overlap=timedelta(days=30), on_violation="quarantine")
+    # Read again by a full run, the row stays aside.
+    B.run_batch(spark, root, utc(2026, 5, 7), refresh="full", on_violation="quarantine")
     assert T.read_table(spark, root, "fact_rejected").count() == 1
     assert {r.txn_count for r in T.read_table(spark, root, "dim_user").collect()} == {1}
 
@@ -100,7 +100,7 @@ def test_a_longer_calendar_unblocks(spark, root):
     assert B.run_batch(spark, root, utc(2026, 5, 5)).inserted == 1
 
 
-@pytest.mark.parametrize("step", ["write_version", "append_rows", "publish"])
+@pytest.mark.parametrize("step", ["write_version", "append_rows", "replace_days", "publish"])
 def test_a_run_that_dies_is_finished_by_the_next(spark, root, monkeypatch, step):
     rows = [hour(i) for i in range(8)]
     load(spark, f"{root}/whole", *rows)
@@ -108,7 +108,7 @@ def test_a_run_that_dies_is_finished_by_the_next(spark, root, monkeypatch, step)
     B.run_batch(spark, f"{root}/whole", utc(2026, 5, 4, 3))
     B.run_batch(spark, f"{root}/broken", utc(2026, 5, 4, 3))
     real = getattr(B, step)
-    fatal = {"write_version": "merchant_day", "append_rows": "fact_transaction", "publish": "dim_user"}
+    fatal = {"write_version": "dim_user", "append_rows": "fact_transaction", "replace_days": "merchant_day", "publish": "dim_user"}
 
     def die_after(*args, **kwargs):
         real(*args, **kwargs)
@@ -131,25 +131,97 @@ def test_a_run_that_dies_is_finished_by_the_next(spark, root, monkeypatch, step)
     assert T.read_table(spark, f"{root}/broken", "fact_transaction").count() == 8
 
 
-def test_overlap_picks_up_rows_written_late(spark, root):
+def test_the_next_run_loads_rows_that_land_late(spark, root):
     load(spark, root, hour(5))
     B.run_batch(spark, root, utc(2026, 5, 4, 12))
     load(spark, root, hour(3))
-    assert B.run_batch(spark, root, utc(2026, 5, 4, 13)).inserted == 0
-    assert B.run_batch(spark, root, utc(2026, 5, 4, 14), overlap=timedelta(days=1)).inserted == 1
+    assert B.run_batch(spark, root, utc(2026, 5, 4, 13)).inserted == 1
+    before = contents(spark, root)
+    for refresh, at in (("full", 14), ("incremental", 15)):
+        assert B.run_batch(spark, root, utc(2026, 5, 4, at), refresh=refresh).inserted == 0
+        assert contents(spark, root) == before
     assert T.read_table(spark, root, "fact_transaction").count() == 2
     assert sum(r.txn_count for r in T.read_table(spark, root, "dim_user").collect()) == 2
 
 
-def test_full_run_loads_late_rows_and_a_later_overlap_counts_them_once(spark, root):
-    load(spark, root, hour(5))
-    B.run_batch(spark, root, utc(2026, 5, 4, 12))
-    load(spark, root, hour(3))
-    assert B.run_batch(spark, root, utc(2026, 5, 4, 13), refresh="full").inserted == 1
-    before = contents(spark, root)
-    assert B.run_batch(spark, root, utc(2026, 5, 4, 14), overlap=timedelta(days=1)).inserted == 0
-    assert contents(spark, root) == before
-    assert sum(r.txn_count for r in T.read_table(spark, root, "dim_user").collect()) == 2
+def test_rows_stamped_after_a_run_wait_for_a_later_one(spark, root):
+    """A landing of which a run takes a part is looked at again, one that it takes whole is not."""
+    load(spark, root, hour(1), hour(9))
+    load(spark, root, hour(2))
+    load(spark, root, hour(3), hour(11))
+    assert B.run_batch(spark, root, utc(2026, 5, 4, 5)).inserted == 3
+    mark = T.read_table(spark, root, "landing_mark").first()
+    assert (mark.seen, mark.landed, mark.inserted) == (3, 0, 0)
+    assert B.run_batch(spark, root, utc(2026, 5, 4, 10)).inserted == 1
+    mark = T.read_table(spark, root, "landing_mark").first()
+    assert (mark.seen, mark.landed, mark.inserted) == (3, 2, 3)
+    load(spark, root, hour(4))
+    assert B.run_batch(spark, root, utc(2026, 5, 4, 12)).inserted == 2
+    mark = T.read_table(spark, root, "landing_mark").first()
+    assert (mark.seen, mark.landed, mark.inserted) == (4, 4, 6)
+    assert T.read_table(spark, root, "fact_transaction").count() == 6
+
+
+def test_the_gate_adds_up_landings_and_does_not_read_rows(spark, root, monkeypatch):
+    from txnlake.sources import landing
+
+    load(spark, root, hour(1))
+    B.run_batch(spark, root, utc(2026, 5, 5))
+    load(spark, root, hour(2, amount=Decimal("0.00")), hour(3, status="ODD"), hour(4, user_id=None))
+    load(spark, root, hour(5, amount=Decimal("-1.00")))
+    real = T.read_table
+
+    def no_raw(spark, root, name, *more):
+        assert name != "raw_transactions"
+        return real(spark, root, name, *more)
+
+    monkeypatch.setattr(B, "read_table", no_raw)
+    for at in (6, 7):
+        with pytest.raises(DataQualityError, match=r"no_null_keys \(1\), no_nonpositive_amounts \(2\), valid_status \(1\)"):
+            B.run_batch(spark, root, utc(2026, 5, at), run_ts=utc(2026, 5, at))
+    monkeypatch.setattr(B, "read_table", real)
+    log = T.read_table(spark, root, "dq_check_log").where("not passed").select("run_ts", "check_name")
+    assert log.count() == 6
+    # a landing that is repaired and counted again no longer blocks
+    path = f"{root}/raw_transactions"
+    whole = spark.createDataFrame(T.read_table(spark, root, "raw_transactions").where("landed = 1").collect(), T.read_table(spark, root, "raw_transactions").schema)
+    kept = {r.landed: r.landed_hour for r in landing.landing_log(spark, root).collect()}
+    whole.write.mode("overwrite").partitionBy("landed_hour").parquet(path)
+    for n in (2, 3):
+        landing.count_landing(spark, root, landing.Landing(n, kept[n]))
+    assert B.run_batch(spark, root, utc(2026, 5, 8)).inserted == 0
+
+
+def test_files_of_untouched_days_stay(spark, root):
+    from pathlib import Path
+
+    def files():
+        return {
+            str(p): p.stat().st_mtime_ns
+            for name in ("merchant_day", "daily_spend_by_category")
+            for p in Path(root, name).rglob("date_key=*/*.parquet")
+        }
+
+    for day in range(1, 6):
+        load(spark, root, *[hour(i + 10 * day, event_time=utc(2026, 5, day, i), merchant_id=day, merchant_category="Travel") for i in range(3)])
+    B.run_batch(spark, root, utc(2026, 5, 5))
+    before = files()
+    assert len({p.split("date_key=")[1][:10] for p in before}) == 5
+    # new facts on the second day; the merchant of the fourth day changes its category by an event of the fifth
+    load(spark, root, hour(90, event_time=utc(2026, 5, 2, 20), merchant_id=2, merchant_category="Travel"))
+    load(spark, root, hour(91, event_time=utc(2026, 5, 5, 20), merchant_id=4, merchant_category="Cash"))
+    assert B.run_batch(spark, root, utc(2026, 5, 6)).inserted == 2
+    after = files()
+    gone = {p.removeprefix(root + "/").split("/")[0] + " " + p.split("date_key=")[1][:10] for p in before if after.get(p) != before[p]}
+    assert gone == {
+        "merchant_day 2026-05-02", "merchant_day 2026-05-05",
+        "daily_spend_by_category 2026-05-02", "daily_spend_by_category 2026-05-04", "daily_spend_by_category 2026-05-05",
+    }
+    mart = {(r.date_key.day, r.merchant_category): r.txn_count for r in T.read_table(spark, root, "daily_spend_by_category").collect()}
+    assert mart == {(1, "Travel"): 3, (2, "Travel"): 4, (3, "Travel"): 3, (4, "Travel"): 3, (4, "Cash"): 3, (5, "Travel"): 3, (5, "Cash"): 1}
+    B.run_batch(spark, root, utc(2026, 5, 7), mart_mode="rebuild")
+    mart = {(r.date_key.day, r.merchant_category): r.txn_count for r in T.read_table(spark, root, "daily_spend_by_category").collect()}
+    assert mart == {(1, "Travel"): 3, (2, "Travel"): 4, (3, "Travel"): 3, (4, "Cash"): 3, (5, "Travel"): 3, (5, "Cash"): 1}
 
 
 def test_watermark_of_a_growing_table_can_be_set(spark, root):

@@ -4,6 +4,7 @@ import pytest
 from helpers import as_set, message, messages
 from pyspark.sql import functions as F
 
+from txnlake.sources import landing as L
 from txnlake.sources import tables as T
 from txnlake.sources.events import publish_events, read_events
 from txnlake.streaming import ingest as I
@@ -62,21 +63,26 @@ def test_replay_from_the_start_adds_nothing(spark, root, source):
     assert T.read_table(spark, root, "raw_transactions").count() == 2
 
 
-def test_batch_that_fails_after_its_write_is_safe_to_run_again(spark, root, source, monkeypatch):
+@pytest.mark.parametrize("table", ["raw_transactions", "landings"])
+def test_batch_that_fails_after_its_write_is_safe_to_run_again(spark, root, source, monkeypatch, table):
     send(spark, source, message(), message(transaction_id="pay-00000002"), "junk")
-    real = I.append_rows
+    real = L.append_rows
 
-    def write_then_die(*args):
-        real(*args)
-        raise RuntimeError("lost")
+    def write_then_die(rows, root, name):
+        real(rows, root, name)
+        if name == table:
+            raise RuntimeError("lost")
 
-    monkeypatch.setattr(I, "append_rows", write_then_die)
+    monkeypatch.setattr(L, "append_rows", write_then_die)
     with pytest.raises(Exception, match="lost"):
         run(spark, source, root)
-    monkeypatch.setattr(I, "append_rows", real)
+    monkeypatch.setattr(L, "append_rows", real)
     run(spark, source, root)
     assert T.read_table(spark, root, "raw_transactions").count() == 2
     assert T.read_table(spark, root, "rejected_events").count() == 1
+    # one landing, counted with the rows of both attempts
+    assert [(r.landed, r.attempted, r.inserted, r.rejected) for r in L.landing_log(spark, root).collect()] == [(1, 2, 2, 1)]
+    assert tuple(L.totals(spark, root).first()) == (2, 2, 1)
 
 
 def test_stream_equals_one_load(spark, root, source):
@@ -118,16 +124,16 @@ def test_ids_remembered_in_state(spark, root, source, monkeypatch):
 
     # A batch that fails after its write is run again from the same state.
     send(spark, source, message(amount="99.00"), message(transaction_id="pay-00000003"))
-    real = I.append_rows
+    real = L.append_rows
 
     def write_then_die(*args):
         real(*args)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(I, "append_rows", write_then_die)
+    monkeypatch.setattr(L, "append_rows", write_then_die)
     with pytest.raises(Exception, match="lost"):
         run(spark, source, root, remember="state")
-    monkeypatch.setattr(I, "append_rows", real)
+    monkeypatch.setattr(L, "append_rows", real)
     run(spark, source, root, remember="state")
     assert stored(spark, root)["pay-00000001"] == "18.60"
     assert T.read_table(spark, root, "raw_transactions").count() == 3

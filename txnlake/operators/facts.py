@@ -10,18 +10,10 @@ from pyspark.sql import functions as F
 from txnlake.functions.times import date_key
 from txnlake.operators.upsert import append_new
 
-INGEST_DATE = "ingest_date"
-
-
 def raw_window(raw: DataFrame, low: datetime, high: datetime) -> DataFrame:
-    """Rows ingested after `low` and up to `high`; prunes ingest-date partitions."""
+    """Rows ingested after `low` and up to `high`."""
     at = F.col("ingested_at")
-    window = raw.where((at > F.lit(low)) & (at <= F.lit(high)))
-    if INGEST_DATE in raw.columns:
-        window = window.where(
-            F.col(INGEST_DATE).between(date_key(F.lit(low)), date_key(F.lit(high)))
-        )
-    return window
+    return raw.where((at > F.lit(low)) & (at <= F.lit(high)))
 
 
 def to_fact(raw: DataFrame) -> DataFrame:

@@ -330,7 +330,7 @@ def all_oracles() -> dict[str, str]:
         + """SELECT array_to_string(reasons, ',') AS reasons, count(*) AS n FROM faulty_checked
              WHERE len(reasons) > 0 GROUP BY ALL""",
         "stream_replay": _STREAMED + "SELECT * REPLACE (TIMESTAMP '2020-01-01' AS ingested_at) FROM li_raw",
-        "stream_replay_state": _STREAMED + "SELECT transaction_id, CAST(1 AS BIGINT) AS n_rows FROM li_raw",
+        "stream_replay_state": _STREAMED + "SELECT * REPLACE (TIMESTAMP '2020-01-01' AS ingested_at) FROM li_raw",
         "dq_history_stored": _with(*_R)
         + "SELECT run_ts, check_name, n = 0 AS passed, n || ' offending rows' AS detail FROM ("
         + " UNION ALL ".join(

@@ -101,6 +101,22 @@ DQ_LOG = (
     "run_ts timestamp, check_name string, passed boolean, detail string"
 )
 
-REJECT = ("value string, reasons array<string>, rejected_at timestamp")
+REJECT = (
+    "value string, reasons array<string>, rejected_at timestamp, stream string, batch bigint"
+)
+
+# One row per append to the raw table: what the batch held and what was stored of it.
+# The last three are offending rows by check.
+LANDING_COUNTS = (
+    "attempted", "inserted", "rejected", "no_null_keys", "no_nonpositive_amounts", "valid_status",
+)
+LANDING = (
+    "landed bigint, taken bigint, stream string, batch bigint, "
+    + ", ".join(f"{c} bigint" for c in LANDING_COUNTS)
+    + ", last_ingested timestamp, landed_hour string"
+)
+
+# The last landing that a run saw (seen) and the last up to which it took all, with the counts up to there.
+LANDING_MARK = "seen bigint, landed bigint, landed_hour string, " + ", ".join(f"{c} bigint" for c in LANDING_COUNTS)
 
 FACT_REJECT = FACT + ", missing array<string>"

@@ -1,10 +1,12 @@
 """Parquet tables under one root folder.
 
-Raw, fact and log tables only ever grow. Dimensions and the mart are replaced
-as a whole: each new version goes to a folder of its own and becomes current
-when one small row set is appended to the publish log. That append is also
-what moves the load watermark, so a run's results appear together or not at
-all. Folders of old versions are reused in turn.
+Raw, fact and log tables only ever grow. The daily tables (totals per merchant
+and the mart) are partitioned by day, and a run replaces only the days it
+touches. The other tables are replaced as a whole: each new version goes to a
+folder of its own, never reused, and becomes current when one small row set is
+appended to the publish log. That append is also what moves the load watermark.
+A run that dies before it writes its days again from the same pending rows, so
+a reader may see some of a run's days before it is published, and never a day in part.
 """
 
 from __future__ import annotations
@@ -17,26 +19,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake import schemas as S
-from txnlake.functions.times import date_key
-from txnlake.operators.facts import INGEST_DATE
-
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 # Table to (stored columns, partition columns).
 GROWING = {
-    "raw_transactions": (f"{S.RAW}, {INGEST_DATE} date", [INGEST_DATE]),
-    "rejected_events": (f"{S.REJECT}, stream string, batch bigint", ["stream", "batch"]),
+    "raw_transactions": (f"{S.RAW}, landed bigint, landed_hour string", ["landed_hour"]),
+    "landings": (S.LANDING, ["landed_hour"]),
+    "rejected_events": (f"{S.REJECT}, rejected_on date", ["rejected_on"]),
     "fact_transaction": (S.FACT, ["date_key"]),
     "fact_rejected": (S.FACT_REJECT, []),
     "dq_check_log": (S.DQ_LOG, []),
 }
+DAILY = {"merchant_day": S.MERCHANT_DAY, "daily_spend_by_category": S.MART}
+# Ids seen before, sorted, in levels of doubling size.
+SEEN_LEVELS = [f"seen_ids_{level}" for level in range(24)]
 REPLACED = {
     "dim_user": S.DIM_USER,
     "dim_merchant": S.DIM_MERCHANT_STORED,
     "dim_date": S.DIM_DATE,
-    "merchant_day": S.MERCHANT_DAY,
-    "daily_spend_by_category": S.MART,
     "pending_transactions": S.RAW,
+    "landing_mark": S.LANDING_MARK,
+    **dict.fromkeys(SEEN_LEVELS, "transaction_id string"),
 }
 
 _PUBLISHED = "table_name string, version bigint, last_loaded timestamp"
@@ -83,34 +86,39 @@ def _folder(root: str, name: str, version: int) -> str:
 def read_table(
     spark: SparkSession, root: str, name: str, versions: dict[str, Version] | None = None
 ) -> DataFrame:
-    if name in GROWING:
-        return _read(spark, f"{root}/{name}", GROWING[name][0])
+    if name in GROWING or name in DAILY:
+        schema = GROWING[name][0] if name in GROWING else DAILY[name]
+        return _read(spark, f"{root}/{name}", schema)
     versions = current_versions(spark, root) if versions is None else versions
     if name not in versions:
         return spark.createDataFrame([], REPLACED[name])
     return _read(spark, _folder(root, name, versions[name].version), REPLACED[name])
 
 
-def append_rows(df: DataFrame, root: str, name: str) -> None:
-    """Append in the table's layout.
-
-    Rebalancing splits a partition value that holds most of the rows over many
+def _dealt(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Rebalancing splits a partition value that holds most of the rows over many
     files, and packs small values into few. Without adaptive execution it would
     send each value to one task, so it is left out then.
     """
-    _, partitions = GROWING[name]
-    rows = df
-    if INGEST_DATE in partitions:
-        rows = rows.withColumn(INGEST_DATE, date_key(F.col("ingested_at")))
     adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    if partitions and adaptive:
-        rows = rows.hint("rebalance", *partitions)
-    rows.write.mode("append").partitionBy(*partitions).parquet(f"{root}/{name}")
+    return df.hint("rebalance", *partitions) if partitions and adaptive else df
+
+
+def append_rows(df: DataFrame, root: str, name: str) -> None:
+    """Append in the table's layout."""
+    partitions = GROWING[name][1]
+    _dealt(df, partitions).write.mode("append").partitionBy(*partitions).parquet(f"{root}/{name}")
+
+
+def replace_days(df: DataFrame, root: str, name: str) -> None:
+    """Replace the days that the rows hold; the files of all other days stay."""
+    rows = _dealt(df, ["date_key"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy("date_key").parquet(f"{root}/{name}")
 
 
-def write_version(df: DataFrame, root: str, name: str, version: int) -> None:
+def write_version(df: DataFrame, root: str, name: str, version: int, **options: str) -> None:
     """Write a version that nobody sees before it is published."""
-    df.write.mode("overwrite").parquet(_folder(root, name, version))
+    df.write.mode("overwrite").options(**options).parquet(_folder(root, name, version))
 
 
 def publish(spark: SparkSession, root: str, versions: dict[str, Version]) -> None:
@@ -135,7 +143,7 @@ def get_watermark(spark: SparkSession, root: str, name: str) -> datetime:
 
 
 def set_watermark(spark: SparkSession, root: str, name: str, ts: datetime) -> None:
-    if name in REPLACED:
+    if name in REPLACED or name in DAILY:
         raise ValueError(f"the watermark of {name} moves with its versions")
     found = current_versions(spark, root).get(name)
     publish(spark, root, {name: Version(found.version + 1 if found else 1, ts)})

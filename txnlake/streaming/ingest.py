@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlake.operators.enrich import enrich
-from txnlake.operators.upsert import append_new
+from txnlake.operators.upsert import first_per_key
 from txnlake.operators.validate import split_valid, validate
 from txnlake.session import use_utc
 from txnlake.sources.events import decode_events
+from txnlake.sources.landing import land, seen_before
 from txnlake.sources.tables import append_rows, read_table
 
 # Fixed value: how often a running stream writes.
@@ -40,6 +41,18 @@ def _check(messages: DataFrame, rates: DataFrame | None, order: list[Column] | N
     return validate(decode_events(messages).withColumn("_order", F.struct(*order)), rates)
 
 
+def _store_rejects(rejects: DataFrame, root: str, stream: str, batch: int) -> None:
+    """Append a batch's rejects to the folder of the day, but for those that an earlier attempt stored."""
+    spark, mine = rejects.sparkSession, (F.col("stream") == stream) & (F.col("batch") == batch)
+    stored = read_table(spark, root, "rejected_events").where(mine).select("value", "reasons")
+    rejects = rejects.select("value", "reasons")
+    if not stored.isEmpty():
+        rejects = rejects.exceptAll(stored)
+    at = F.current_timestamp()
+    columns = {"rejected_at": at, "stream": F.lit(stream), "batch": F.lit(batch).cast("bigint"), "rejected_on": F.to_date(at)}
+    append_rows(rejects.withColumns(columns), root, "rejected_events")
+
+
 def _write_checked(
     spark: SparkSession,
     checked: DataFrame,
@@ -47,7 +60,9 @@ def _write_checked(
     stream: str,
     batch: int,
     now: datetime | Column | None,
+    fresh_ids: DataFrame | None = None,
 ) -> dict[str, int]:
+    """Store a batch; with fresh_ids only events with these ids can be new."""
     now = now if now is not None else datetime.now(timezone.utc)
     checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -57,25 +72,19 @@ def _write_checked(
             F.count_if(~is_good).alias("rejected"),
         ).first()
         good, rejects = split_valid(checked)
-        if seen.rejected:
-            # One folder per stream and batch: running the batch again replaces it.
-            rejects.select(
-                "value", "reasons", F.current_timestamp().alias("rejected_at")
-            ).write.mode("overwrite").parquet(
-                f"{root}/rejected_events/stream={stream}/batch={batch}"
-            )
         inserted = 0
-        if seen.attempted:
-            raw = read_table(spark, root, "raw_transactions")
-            fresh = append_new(raw, good, "transaction_id", [F.col("_order")]).persist(
-                StorageLevel.MEMORY_AND_DISK
-            )
+        if seen.rejected:
+            _store_rejects(rejects, root, stream, batch)
+        if fresh_ids is not None:
+            good = good.join(fresh_ids, "transaction_id", "left_semi")
+        if seen.attempted or seen.rejected:
+            first = first_per_key(good, "transaction_id", [F.col("_order")]).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                inserted = fresh.count()
-                if inserted:
-                    append_rows(enrich(fresh, now=now), root, "raw_transactions")
+                known = seen_before(spark, root, first.select("transaction_id"))
+                fresh = first.join(known, "transaction_id", "left_anti")
+                inserted = land(enrich(fresh, now=now), root, stream, batch, seen.attempted, seen.rejected)
             finally:
-                fresh.unpersist()
+                first.unpersist()
         return {"attempted": seen.attempted, "inserted": inserted, "rejected": seen.rejected}
     finally:
         checked.unpersist()
@@ -95,7 +104,9 @@ def write_batch(
     """Write one batch of messages; works for streams and for one-off loads.
 
     An id already in the raw table is skipped, however old, and of several
-    copies in the batch the first by `order` stays.
+    copies in the batch the first by `order` stays. Ids are looked up in sorted
+    tables, of which only the pages that may hold them are read. Each batch is
+    one landing.
     Decoding is the costly part: `min_partitions` spreads the messages first, for
     sources that deliver a batch in fewer pieces than there are cores.
     """
@@ -106,10 +117,15 @@ def write_batch(
     return _write_checked(spark, checked, root, stream, batch, now)
 
 
-def _drop_seen(checked: DataFrame) -> DataFrame:
-    """Let each valid transaction id through once, ever. Rejects always pass and leave no state."""
-    good, rejects = checked.where(F.size("reasons") == 0), checked.where(F.size("reasons") > 0)
-    return good.dropDuplicates(["transaction_id"]).unionByName(rejects)
+def _with_fresh_ids(checked: DataFrame) -> DataFrame:
+    """All checked rows, and beside them, marked, each valid id that the state has not seen before.
+
+    Only ids are kept in state. Which copy of a new id stays is decided over the rows of the batch.
+    """
+    ids = checked.where(F.size("reasons") == 0).select("transaction_id").dropDuplicates(["transaction_id"])
+    return checked.withColumn("_is_id", F.lit(False)).unionByName(
+        ids.withColumn("_is_id", F.lit(True)), allowMissingColumns=True
+    )
 
 
 def _stream_name(spark: SparkSession, checkpoint: str) -> str:
@@ -133,21 +149,21 @@ def ingest(
     """Start the stream into `root`. One stream may write to a root at a time.
 
     `remember` says where ids seen before are looked up. Both are exact and
-    without an age limit, over restarts, replayed batches and new checkpoints:
+    without an age limit, over restarts, replayed batches and new checkpoints, and
+    both keep the first of several copies by `order`:
 
-    - `table`: in the raw table. Each batch reads the id column of its history,
-      without shuffling it as long as the batch is small.
+    - `table`: in the sorted ids of earlier landings. A batch reads the pages
+      that may hold its ids, however long the history is.
     - `state`: in the stream's state store first (set RocksDB as its provider),
-      so copies of ids that this checkpoint has seen are not looked up. Of copies that
-      differ and arrive in one batch any may stay; across batches the first
-      does. What the state lets through is still looked up in the table, since
-      only the table knows of replayed batches and of other checkpoints.
+      so copies of ids that this checkpoint has seen are not looked up. What the
+      state lets through is still looked up in the table, since only the table
+      knows of replayed batches and of other checkpoints. Messages are
+      decoded twice, once for their ids.
 
     `on_batch` gets each batch's number and its counts of attempted, inserted
-    and rejected events; with `state`, copies of earlier ids are not among the
-    attempted. To bound a batch, set the source's own limit
-    (`maxOffsetsPerTrigger`, `maxFilesPerTrigger`). Other options are those of
-    `write_batch`.
+    and rejected events; `landing.totals` adds them up over restarts. To bound a
+    batch, set the source's own limit (`maxOffsetsPerTrigger`,
+    `maxFilesPerTrigger`). Other options are those of `write_batch`.
     """
     if remember not in ("table", "state"):
         raise ValueError(f"remember must be 'table' or 'state', not {remember!r}")
@@ -156,7 +172,12 @@ def ingest(
         spark = rows.sparkSession
         name = _stream_name(spark, checkpoint)
         if remember == "state":
-            counts = _write_checked(spark, rows, root, name, batch, now)
+            kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                ids = kept.where("_is_id").select("transaction_id")
+                counts = _write_checked(spark, kept.where("not _is_id").drop("_is_id"), root, name, batch, now, ids)
+            finally:
+                kept.unpersist()
         else:
             counts = write_batch(spark, rows, root, name, batch, rates, now, order, min_partitions)
         if on_batch is not None and any(counts.values()):
@@ -164,7 +185,9 @@ def ingest(
 
     use_utc(stream.sparkSession)
     if remember == "state":
-        stream = _drop_seen(_check(stream, rates, order))
+        if min_partitions is not None:
+            stream = stream.repartition(min_partitions)
+        stream = _with_fresh_ids(_check(stream, rates, order))
     return (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
