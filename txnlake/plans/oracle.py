@@ -341,6 +341,16 @@ def all_oracles() -> dict[str, str]:
         )
         + ")",
         "batch_late_rows": _DIM_USER_SELECT,
+        "stream_totals": _with(_RATES, _FEED, _FAULTY, _FAULTY_CHECKED)
+        + """SELECT CAST(2 * count(*) FILTER (WHERE len(reasons) = 0) AS BIGINT) AS attempted,
+             count(DISTINCT transaction_id) FILTER (WHERE len(reasons) = 0) AS inserted,
+             CAST(2 * count(*) FILTER (WHERE len(reasons) > 0) AS BIGINT) AS rejected FROM faulty_checked""",
+        "batch_gate": _with(*_R)
+        + """, late AS (SELECT CAST(substr(transaction_id, 5) AS BIGINT) % 50 AS k FROM raw WHERE ingested_at >= TIMESTAMP '2024-01-16'),
+             bad AS (SELECT unnest(['no_null_keys', 'no_nonpositive_amounts', 'valid_status']) AS check_name, unnest([1, 2, 3]) AS k),
+             runs AS (SELECT unnest([TIMESTAMP '2024-01-16', TIMESTAMP '2024-03-01', TIMESTAMP '2024-03-02']) AS run_ts, unnest([0, 1, 1]) AS has_late)
+             SELECT run_ts, check_name, n = 0 AS passed, n || ' offending rows' AS detail
+             FROM (SELECT run_ts, check_name, has_late * (SELECT count(*) FROM late WHERE late.k = bad.k) AS n FROM runs, bad)""",
         "stream_ingest": _RAW_SELECT,
         "stream_state": _RAW_SELECT,
         "stream_dedup": _STREAMED + "SELECT * REPLACE (TIMESTAMP '2030-01-01' AS ingested_at) FROM li_raw",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +26,7 @@ from txnlake.session import scratch_dir, use_utc
 from txnlake.sources import feed, landing, tables
 from txnlake.sources.events import decode_events, to_keyed_json
 from txnlake.sources.rates import fx_rates, supported_currencies, with_rate
-from txnlake.streaming.ingest import ingest
+from txnlake.streaming.ingest import ingest, write_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -549,6 +550,44 @@ def q_stream_replay_state(spark: SparkSession, sf: str) -> DataFrame:
     return _replayed(spark, sf, ("state", "table"))
 
 
+def q_stream_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Running totals over three starts of a stream, the last one on a clock, and over a load beside it."""
+    sent = _faulty(spark, sf)
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    root = scratch_dir(spark, "totals")
+    for part in (0, 1):
+        _send_and_ingest(sent.where(third == part), f"{root}/_source", root, "_checkpoint", "table")
+    sent.where(third == 2).write.mode("append").parquet(f"{root}/_source")
+    source = spark.readStream.schema(sent.schema).parquet(f"{root}/_source")
+    running = ingest(source, root, f"{root}/_checkpoint", {"processingTime": "1 second"}, now=F.col("ingested_at"))
+    running.processAllAvailable()
+    running.stop()
+    write_batch(spark, sent, root, "load", 0, now=F.col("ingested_at"))
+    return landing.totals(spark, root)
+
+
+def q_batch_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit log of runs that a bad landing stops, until it is set right."""
+    raw = _raw(spark, sf)
+    root = scratch_dir(spark, "gate")
+    n = F.substring("transaction_id", 5, 18).cast("bigint") % 50
+    when = lambda k, bad, column: F.when(n == k, bad).otherwise(F.col(column)).alias(column)
+    faults = {
+        "user_id": when(1, F.lit(None), "user_id"),
+        "amount": when(2, F.lit(0).cast(MONEY), "amount"),
+        "status": when(3, F.lit("PENDING"), "status"),
+    }
+    late = F.col("ingested_at") >= F.lit(EVENTS_CUT)
+    landing.land(raw.where(~late), root)
+    run_batch(spark, root, EVENTS_CUT, run_ts=EVENTS_CUT)
+    landing.land(raw.where(late).select(*[faults.get(c, F.col(c)) for c in RAW_COLUMNS]), root)
+    last = _ends(raw)[-1]
+    for day in (1, 2):
+        with suppress(Q.DataQualityError):
+            run_batch(spark, root, last + timedelta(days=day), run_ts=_utc(2024, 3, day))
+    return tables.read_table(spark, root, "dq_check_log")
+
+
 def all_queries() -> dict[str, Query]:
     def plain(query: Query) -> Query:
         return lambda spark, sf: _plain(query(use_utc(spark), sf))
