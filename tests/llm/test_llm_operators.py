@@ -47,6 +47,11 @@ def test_jaccard_equals_brute_force(docs):
     assert jaccard.link_components(empty(docs)).count() == 0
     kept = {r.doc_id for r in jaccard.one_of_each(docs, jaccard.link_components(docs)).collect()}
     assert kept == {1, 4, 5, 6, 7, 8, 10, 11, None}
+    # a repeated id takes no text along that is not a copy
+    other = " ".join(f"m{i}" for i in range(300))
+    few = docs.sparkSession.createDataFrame([(1, LONG), (2, LONG), (2, other), (3, other + " word"), (2, other + " more")], "doc_id long, text string")
+    kept = {(r.doc_id, r.text) for r in jaccard.one_of_each(few, jaccard.link_components(few)).collect()}
+    assert len(kept) == 2 and (1, LONG) in kept and kept <= {(1, LONG), (2, other), (2, other + " more")}
 
 
 def test_passages(docs):
@@ -161,6 +166,14 @@ def test_embeddings_equal_brute_force(spark, monkeypatch, block):
     assert got == {i: (len(near.get(i, [])), part[i], part[i] == i) for i in part}
 
 
+def test_embeddings_of_repeated_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (1, None), (2, [1.0, 0.01]), (3, [0.0, 1.0]), (4, None), (None, [1.0, 0.0]), (3, [0.0, 2.0])]
+    table = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, label string")
+    got = sorted(map(str, map(tuple, embeddings.link_vectors(table).collect())))
+    want = [(1, 1, 1, True), (1, 2, 1, True), (1, 0, 1, True), (2, 1, 1, False), (3, 2, 1, False), (4, 0, 4, True), (None, 0, None, None), (3, 2, 1, False)]
+    assert got == sorted(map(str, want))
+
+
 def test_templates(spark, docs):
     item = "Alice buys 3 kg of red apples and 5 kg of green pears at the market then Alice pays"
     bench = spark.createDataFrame([(1, item), (2, None), (3, "too short"), (4, "")], "item_id long, text string")
@@ -172,6 +185,9 @@ def test_templates(spark, docs):
     assert got[1] and got[2] is False and got[4] and 5 not in got and 6 not in got
     assert templates.contaminated(docs, empty(bench)).count() == 0
     assert templates.without_contaminated(docs, bench).count() == len(TEXTS)
+    rows = [(None, item), (None, "clean"), (7, item), (7, "clean too"), (8, None)]
+    left = templates.without_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    assert {tuple(r) for r in left.collect()} == {(None, "clean"), (7, "clean too"), (8, None)}
 
 
 def test_templates_with_other_numbers_names_and_units(spark):
@@ -207,6 +223,8 @@ def test_secrets(spark, docs):
     assert got[1].s == got[2].s == ""
     assert secrets.fit(empty(samples)) is None
     clean = secrets.redacted(docs.union(docs.limit(1).withColumn("text", F.lit(text))), None)
+    odd = docs.withColumns({"hex": F.lit("h"), "markov": F.lit(1), "_any": F.lit("a"), "assign": F.lit(None)})
+    assert [tuple(r[c] for c in ("hex", "markov", "_any", "assign")) for r in secrets.redacted(odd, None).collect()] == [("h", 1, "a", None)] * len(TEXTS)
     assert clean.columns == docs.columns and clean.where("text like '%AKIA%'").count() == 0 and clean.count() == len(TEXTS) + 1
 
 

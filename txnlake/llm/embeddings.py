@@ -18,7 +18,8 @@ spanning forest of what they have seen.
 
 Vectors that are null, zero, of no component, or hold null or non-finite components,
 and vectors whose label is null, link with nothing, nor do vectors of different length.
-A row without vec_id takes no part: 0 links, null component, kept null.
+A row without vec_id takes no part: 0 links, null component, kept null. Rows that repeat a vec_id are vectors of
+their own, each with its own links; several of them may be kept.
 """
 
 from __future__ import annotations
@@ -47,7 +48,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def unit_nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(vec_id, node) of every row, and (node, label, cell, copies, unit) of every different vector that may link."""
+    """(row, vec_id, node, copies) of every row, and (node, cell, home, copies, unit) of every different vector that may link.
+
+    A node is named by the least number of its rows, which are numbered when they are stored.
+    """
 
     def run(batches):
         for batch in batches:
@@ -64,12 +68,13 @@ def unit_nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
             )
 
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("string"), "embedding")
-    rows = written(rows.mapInArrow(run, "vec_id long, label string, unit binary"), "units")
+    rows = rows.mapInArrow(run, "vec_id long, label string, unit binary")
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "units")
     may = rows.where("vec_id is not null and label is not null and unit is not null")
-    nodes = written(may.groupBy("label", "unit").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "nodes")
-    of = may.join(nodes, ["label", "unit"]).select("vec_id", "node", "copies")
+    nodes = written(may.groupBy("label", "unit").agg(F.min("row").alias("node"), F.count("*").alias("copies")), "nodes")
+    of = may.join(nodes, ["label", "unit"]).select("row", "node", "copies")
     nodes = nodes.select("node", F.xxhash64("label", F.length("unit")).alias("cell"), F.lit(True).alias("home"), "copies", "unit")
-    return rows.select("vec_id").join(of.distinct(), "vec_id", "left"), nodes
+    return rows.select("row", "vec_id").join(of, "row", "left"), nodes
 
 
 def _divide(rows: DataFrame, level: int, reach: float) -> DataFrame:
@@ -192,9 +197,11 @@ def link_vectors(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     found = written(_joined(rows, least), "found")
     counts = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
     parts = components(found.where("other is not null"), "node", "other")
-    out = of.join(counts, "node", "left").join(parts, "node", "left")
-    component = F.coalesce("component", "node", "vec_id")
-    return out.select(
+    out = of.join(counts, "node", "left").join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    out = written(out, "linked")
+    names = out.where("part is not null").groupBy("part").agg(F.min("vec_id").alias("least"))
+    component = F.coalesce("least", "vec_id")
+    return out.join(names, "part", "left").select(
         "vec_id",
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
         component.alias("component_id"),

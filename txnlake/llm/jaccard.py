@@ -68,7 +68,7 @@ def counted(held: list[np.ndarray]) -> np.ndarray:
 
 
 def with_nodes(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, n_shingles, node) of every row, and rows of hashed counts in block, counts."""
+    """(doc_id, same, n_shingles, node) of every row, and rows of hashed counts in block, counts. same is a hash of the text."""
 
     def run(batches):
         seen = np.zeros(COUNTS, np.int64)
@@ -86,18 +86,18 @@ def with_nodes(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
             seen += counted(held)
             none = pa.nulls(batch.num_rows)
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "n_shingles": n, "node": pa.array(node, mask=n == 0),
+                {"doc_id": batch.column("doc_id"), "same": batch.column("same"), "n_shingles": n, "node": pa.array(node, mask=n == 0),
                  "block": none.cast(pa.int32()), "counts": none.cast(pa.binary())}
             )
         rows = seen.astype(np.int32).reshape(BLOCKS, -1)
         none = pa.nulls(BLOCKS).cast(pa.int64())
         yield pa.RecordBatch.from_pydict(
-            {"doc_id": none, "n_shingles": none, "node": none, "block": pa.array(range(BLOCKS), pa.int32()),
+            {"doc_id": none, "same": none, "n_shingles": none, "node": none, "block": pa.array(range(BLOCKS), pa.int32()),
              "counts": pa.array([r.tobytes() for r in rows], pa.binary())}
         )
 
-    schema = "doc_id long, n_shingles long, node long, block int, counts binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, same long, n_shingles long, node long, block int, counts binary"
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("same")).mapInArrow(run, schema)
 
 
 def hashed_counts(counts: DataFrame) -> np.ndarray:
@@ -213,9 +213,12 @@ def measured(docs: DataFrame, pairs: DataFrame, ids: DataFrame, repeated: bool,
 
 
 def link_components(docs: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) of every row of docs (doc_id, text)."""
+    """(doc_id, same, n_shingles, node, component, component_id) of every row of docs (doc_id, text).
+
+    component tells components apart, also where ids repeat; component_id is the least id in it.
+    """
     table = written(with_nodes(docs, size), "nodes")
-    rows = table.where("block is null").select("doc_id", "n_shingles", "node")
+    rows = table.where("block is null").select("doc_id", "same", "n_shingles", "node")
     ids = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     repeated = any_repeated(rows, "doc_id")
     counts = hashed_counts(table.where("block is not null"))
@@ -320,14 +323,18 @@ def _named(rows, parts):
     of = rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = written(of.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id")), "names")
     return of.join(least, "component", "left").select(
-        "doc_id", "n_shingles", "node", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "same", "n_shingles", "node", "component", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, linked: DataFrame) -> DataFrame:
-    """docs without the rows whose id is not the smallest of its component.
+    """docs with one document of each component: the smallest id's, and of several texts of it the one with the least hash.
 
-    Rows that repeat one id stay together; rows without an id stay.
+    Each row is judged by its id and text, so a text that is no copy stays whatever else its id holds. Rows that
+    repeat both stay together; rows without an id stay.
     """
-    drop = linked.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti")
+    texts = linked.where("doc_id is not null and component is not null").select("component", "component_id", "doc_id", "same").distinct()
+    first = texts.where("doc_id = component_id").groupBy("component").agg(F.min("same").alias("first"))
+    drop = texts.join(first, "component").where("doc_id <> component_id or same <> first").select("doc_id", F.col("same").alias("_same"))
+    marked = docs.withColumn("_same", F.xxhash64("text"))
+    return marked.join(drop.distinct(), ["doc_id", "_same"], "left_anti").select(*docs.columns)

@@ -12,7 +12,7 @@ their own. Without samples of both kinds the models add nothing.
 
 Spans count code points and end exclusively. Null texts are empty; empty texts
 have no span. Matches of one kind do not overlap; those of different kinds may.
-Any further columns stay as they are, except those that the operator adds.
+Any further columns stay as they are, except that scan() replaces those named like a kind.
 """
 
 from __future__ import annotations
@@ -142,9 +142,10 @@ def spans(*kinds: str) -> Column:
 def redacted(docs: DataFrame, table: list[float] | None, mark: str = "[SECRET]") -> DataFrame:
     """docs with every span in text replaced by the mark and n_chars brought up to date.
 
-    Texts without a span stay as they are, null included.
+    Texts without a span stay as they are, null included, and so do all other columns, whatever their names.
     """
     keep = docs.columns
+    docs = docs.select(F.struct(*docs.columns).alias("_doc"), "text")
     places = F.sort_array(F.transform(F.concat(*KINDS), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
     clean = F.aggregate(
         places,
@@ -161,6 +162,7 @@ def redacted(docs: DataFrame, table: list[float] | None, mark: str = "[SECRET]")
     )
     found = scan(docs, table).withColumn("_any", F.size(F.concat(*KINDS)) > 0)
     out = found.withColumn("text", F.when(F.col("_any"), clean).otherwise(F.col("text")))
+    new = {"text": F.col("text")}
     if "n_chars" in keep:
-        out = out.withColumn("n_chars", F.when(F.col("_any"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*keep)
+        new["n_chars"] = F.when(F.col("_any"), F.length("text").cast("long")).otherwise(F.col("_doc.n_chars"))
+    return out.select(*[new.get(c, F.col("_doc")[c]).alias(c) for c in keep])

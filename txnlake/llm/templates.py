@@ -217,9 +217,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs without the documents that match any item; rows without an id are checked like any other.
+    """docs without the documents that match any item.
 
-    A row without an id cannot be told from another such row: if one matches, all go.
+    Each row is judged by its id and text, so neither a repeated id nor a missing one takes a clean text along.
     """
-    hits = contaminated(docs, benchmark, window).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    key = F.xxhash64("doc_id", "text")
+    hits = contaminated(docs.select(key.alias("doc_id"), "text"), benchmark, window).select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(hits, key == F.col("_hit"), "left_anti")
