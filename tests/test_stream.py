@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from helpers import as_set, message, messages
@@ -56,6 +57,21 @@ def test_stream_lands_good_events_once_and_sets_bad_ones_aside(spark, root, sour
     assert len(seen) == 2
 
 
+def test_rejects_lie_in_one_folder_a_day(spark, root, source):
+    for i in range(4):
+        send(spark, source, "junk", "junk", message(currency="ZZZ", transaction_id=f"pay-{i:08}"))
+        run(spark, source, root)
+    kept = T.read_table(spark, root, "rejected_events")
+    assert kept.count() == 12 and kept.select("stream", "batch").distinct().count() == 4
+    assert kept.select("rejected_on").distinct().count() <= 2
+    assert len(list(Path(root, "rejected_events").glob("rejected_on=*/*.parquet"))) <= 2 * 4
+    # the same batch again, after an attempt that stored a part of it
+    I.write_batch(spark, messages(spark, "a", "a", "b"), root, "load", 7)
+    I.write_batch(spark, messages(spark, "a", "a", "b", "b", "c"), root, "load", 7)
+    mine = [r.value for r in T.read_table(spark, root, "rejected_events").where("batch = 7").collect()]
+    assert sorted(mine) == ["a", "a", "b", "b", "c"]
+
+
 def test_replay_from_the_start_adds_nothing(spark, root, source):
     send(spark, source, message(), message(transaction_id="pay-00000002"))
     run(spark, source, root)

@@ -341,6 +341,7 @@ def all_oracles() -> dict[str, str]:
         )
         + ")",
         "batch_late_rows": _DIM_USER_SELECT,
+        "batch_rerun": _with(*_F) + "SELECT * FROM fact",
         "stream_totals": _with(_RATES, _FEED, _FAULTY, _FAULTY_CHECKED)
         + """SELECT CAST(2 * count(*) FILTER (WHERE len(reasons) = 0) AS BIGINT) AS attempted,
              count(DISTINCT transaction_id) FILTER (WHERE len(reasons) = 0) AS inserted,
