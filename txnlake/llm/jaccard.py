@@ -333,8 +333,8 @@ def one_of_each(docs: DataFrame, linked: DataFrame) -> DataFrame:
     Each row is judged by its id and text, so a text that is no copy stays whatever else its id holds. Rows that
     repeat both stay together; rows without an id stay.
     """
-    texts = linked.where("doc_id is not null and component is not null").select("component", "component_id", "doc_id", "same").distinct()
-    first = texts.where("doc_id = component_id").groupBy("component").agg(F.min("same").alias("first"))
-    drop = texts.join(first, "component").where("doc_id <> component_id or same <> first").select("doc_id", F.col("same").alias("_same"))
+    texts = linked.where("doc_id is not null and component is not null").withColumnRenamed("same", "_same")
+    first = texts.where("doc_id = component_id").groupBy("component").agg(F.min("doc_id").alias("doc_id"), F.min("_same").alias("_same"))
+    drop = texts.select("doc_id", "_same").distinct().join(first, ["doc_id", "_same"], "left_anti")
     marked = docs.withColumn("_same", F.xxhash64("text"))
-    return marked.join(drop.distinct(), ["doc_id", "_same"], "left_anti").select(*docs.columns)
+    return marked.join(drop, ["doc_id", "_same"], "left_anti").select(*docs.columns)
