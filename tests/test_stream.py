@@ -201,3 +201,30 @@ def test_remember_is_checked(spark, root, source):
     send(spark, source, message())
     with pytest.raises(ValueError):
         run(spark, source, root, remember="memory")
+
+
+@pytest.mark.parametrize("remember", ["table", "state"])
+def test_a_batch_is_staged_in_files_and_nothing_is_cached(spark, root, source, monkeypatch, remember):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def no_cache(*_):
+        raise AssertionError("rows were cached")
+
+    monkeypatch.setattr(DataFrame, "persist", no_cache)
+    monkeypatch.setattr(DataFrame, "cache", no_cache)
+    seen = []
+    for part in ([message(), message(amount="1.00"), "junk", "junk"], [message(amount="5.00"), message(transaction_id="pay-00000002")]):
+        send(spark, source, *part)
+        run(spark, source, root, seen, remember=remember)
+    assert seen == [{"attempted": 2, "inserted": 1, "rejected": 2}, {"attempted": 2, "inserted": 1, "rejected": 0}]
+    assert stored(spark, root) == {"pay-00000001": "1.00", "pay-00000002": "18.60"}
+    assert [r.value for r in T.read_table(spark, root, "rejected_events").collect()] == ["junk", "junk"]
+    # one folder for the stream, emptied once the batch has landed
+    staging = list(Path(root, "_staging").iterdir())
+    assert len(staging) == 1 and spark.read.parquet(str(staging[0])).count() == 0
+
+
+def test_messages_in_enough_partitions_are_not_dealt_anew(spark):
+    many = spark.range(0, 100, 1, 6)
+    assert I._spread(many, 6) is many and I._spread(many, None) is many
+    assert I._spread(many, 7).rdd.getNumPartitions() == 7

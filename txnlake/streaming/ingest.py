@@ -11,7 +11,6 @@ import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,41 +52,69 @@ def _store_rejects(rejects: DataFrame, root: str, stream: str, batch: int) -> No
     append_rows(rejects.withColumns(columns), root, "rejected_events")
 
 
+def _staged(checked: DataFrame, root: str, stream: str) -> DataFrame:
+    """Checked rows of a batch, stored in the folder of its stream in place of those of the batch before.
+
+    Stored and not cached: a cached partition that does not fit is written out a hundred blocks at a
+    time, each of ten thousand wide rows, which takes more heap than the rows of many tasks leave. The
+    message is stored once, in the order of good rows (which may be made of it) or as the value of rejects.
+    """
+    is_good = F.size("reasons") == 0
+    kept = {"value": F.when(~is_good, F.col("value")), "_order": F.when(is_good, F.col("_order"))}
+    path = _staging(root, stream)
+    checked.withColumns(kept).write.mode("overwrite").parquet(path)
+    return checked.sparkSession.read.schema(checked.schema).parquet(path)
+
+
+def _staging(root: str, stream: str) -> str:
+    return f"{root}/_staging/{hashlib.sha256(stream.encode()).hexdigest()[:12]}"
+
+
+def _clear(staged: DataFrame, root: str, stream: str) -> None:
+    """Leave no rows of a batch behind that has landed; those of one that failed go with the next."""
+    empty = staged.sparkSession.createDataFrame([], staged.schema)
+    empty.write.mode("overwrite").parquet(_staging(root, stream))
+
+
 def _write_checked(
     spark: SparkSession,
-    checked: DataFrame,
+    staged: DataFrame,
     root: str,
     stream: str,
     batch: int,
     now: datetime | Column | None,
     fresh_ids: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Store a batch; with fresh_ids only events with these ids can be new."""
+    """Land a staged batch; with fresh_ids only events with these ids can be new."""
     now = now if now is not None else datetime.now(timezone.utc)
-    checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        is_good = F.size("reasons") == 0
-        seen = checked.agg(
-            F.count_if(is_good).alias("attempted"),
-            F.count_if(~is_good).alias("rejected"),
-        ).first()
-        good, rejects = split_valid(checked)
-        inserted = 0
-        if seen.rejected:
-            _store_rejects(rejects, root, stream, batch)
-        if fresh_ids is not None:
-            good = good.join(fresh_ids, "transaction_id", "left_semi")
-        if seen.attempted or seen.rejected:
-            first = first_per_key(good, "transaction_id", [F.col("_order")]).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                known = seen_before(spark, root, first.select("transaction_id"))
-                fresh = first.join(known, "transaction_id", "left_anti")
-                inserted = land(enrich(fresh, now=now), root, stream, batch, seen.attempted, seen.rejected)
-            finally:
-                first.unpersist()
-        return {"attempted": seen.attempted, "inserted": inserted, "rejected": seen.rejected}
-    finally:
-        checked.unpersist()
+    is_good = F.size("reasons") == 0
+    seen = staged.agg(
+        F.count_if(is_good).alias("attempted"),
+        F.count_if(~is_good).alias("rejected"),
+    ).first()
+    good, rejects = split_valid(staged)
+    inserted = 0
+    if seen.rejected:
+        _store_rejects(rejects, root, stream, batch)
+    if seen.attempted or seen.rejected:
+        # copies go before the joins, so that an id with very many does not meet in one task
+        fresh = first_per_key(good, "transaction_id", [F.col("_order")]).drop("_order")
+        if fresh_ids is None:
+            ids = good.select("transaction_id").distinct()
+        else:
+            ids = fresh_ids
+            fresh = fresh.join(ids, "transaction_id", "left_semi")
+        known = seen_before(spark, root, ids)
+        fresh = fresh.join(known, "transaction_id", "left_anti")
+        inserted = land(enrich(fresh, now=now), root, stream, batch, seen.attempted, seen.rejected)
+    return {"attempted": seen.attempted, "inserted": inserted, "rejected": seen.rejected}
+
+
+def _spread(messages: DataFrame, min_partitions: int | None) -> DataFrame:
+    """Messages in at least so many partitions; those that come in enough stay where they are."""
+    if min_partitions is None or messages.rdd.getNumPartitions() >= min_partitions:
+        return messages
+    return messages.repartition(min_partitions)
 
 
 def write_batch(
@@ -111,10 +138,10 @@ def write_batch(
     sources that deliver a batch in fewer pieces than there are cores.
     """
     use_utc(spark)
-    if min_partitions is not None:
-        messages = messages.repartition(min_partitions)
-    checked = _check(messages, rates, order)
-    return _write_checked(spark, checked, root, stream, batch, now)
+    staged = _staged(_check(_spread(messages, min_partitions), rates, order), root, stream)
+    counts = _write_checked(spark, staged, root, stream, batch, now)
+    _clear(staged, root, stream)
+    return counts
 
 
 def _with_fresh_ids(checked: DataFrame) -> DataFrame:
@@ -172,12 +199,10 @@ def ingest(
         spark = rows.sparkSession
         name = _stream_name(spark, checkpoint)
         if remember == "state":
-            kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                ids = kept.where("_is_id").select("transaction_id")
-                counts = _write_checked(spark, kept.where("not _is_id").drop("_is_id"), root, name, batch, now, ids)
-            finally:
-                kept.unpersist()
+            staged = _staged(rows, root, name)
+            ids = staged.where("_is_id").select("transaction_id")
+            counts = _write_checked(spark, staged.where("not _is_id").drop("_is_id"), root, name, batch, now, ids)
+            _clear(staged, root, name)
         else:
             counts = write_batch(spark, rows, root, name, batch, rates, now, order, min_partitions)
         if on_batch is not None and any(counts.values()):
