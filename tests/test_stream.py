@@ -228,3 +228,17 @@ def test_messages_in_enough_partitions_are_not_dealt_anew(spark):
     many = spark.range(0, 100, 1, 6)
     assert I._spread(many, 6) is many and I._spread(many, None) is many
     assert I._spread(many, 7).rdd.getNumPartitions() == 7
+
+
+def test_ids_in_state_lie_on_disk_whatever_the_session_says(spark, root, source):
+    provider, bound = (f"spark.sql.streaming.stateStore.{k}" for k in ("providerClass", "rocksdb.boundedMemoryUsage"))
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        send(spark, source, message())
+        run(spark, source, root, remember="state")
+        used = Path(root, "cp", "offsets", "0").read_text()
+        assert "RocksDBStateStoreProvider" in used and "HDFSBacked" not in used
+        assert spark.conf.get(bound) == "true"
+    finally:
+        spark.conf.set(provider, before)
