@@ -291,3 +291,48 @@ def test_revisits_across_ranges(spark):
     table = spark.createDataFrame(rows, "record_id long, url string, ts long, kind string, headers map<string,string>").repartition(20)
     got = {r.record_id: r.response_id for r in warc.resolve(table).collect()}
     assert got == {i: None if i < 3 else 3 for i in range(500) if i != 3}
+
+
+def test_distinct_values_of_extents_are_counted_per_start():
+    import numpy as np
+
+    from txnlake.llm.passages import distinct_in, last_before
+
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 60, 300):
+        values, p = rng.integers(0, max(1, n // 3), n), rng.integers(0, max(1, n // 3), n // 2)
+        there = np.isin(values, p)
+        extents = np.sort(rng.integers(0, n, (40, 2)), 1)
+        every, those = distinct_in(last_before(values), there, extents)
+        assert every.tolist() == [len(set(values[u : v + 1].tolist())) for u, v in extents]
+        assert those.tolist() == [len(set(values[u : v + 1].tolist()) & set(p.tolist())) for u, v in extents]
+
+
+def test_a_pair_with_very_many_shared_runs_is_not_counted_extent_by_extent(monkeypatch):
+    import numpy as np
+
+    from txnlake.llm import passages as P
+
+    # runs of five shared places and one of its own: in every extent too few are shared or the texts repeat too much
+    rng = np.random.default_rng(5)
+    common = rng.integers(1, 1 << 60, 40)
+    own = iter(range(1 << 61, (1 << 61) + 1000))
+    side = lambda: np.concatenate([[*common[k : k + 5], next(own)] for k in rng.integers(0, 36, 70)]).astype(np.uint64)
+    a, b = side(), side()
+    calls, real = [0], np.unique
+
+    def counted(*args, **more):
+        calls[0] += 1
+        return real(*args, **more)
+
+    monkeypatch.setattr(P.np, "unique", counted)
+    listed, extents = [0], P._extents
+
+    def kept(*args):
+        found = extents(*args)
+        listed[0] += len(found)
+        return found
+
+    monkeypatch.setattr(P, "_extents", kept)
+    P.shared_passages(a, b, [(0, len(a) - 1, 0, len(b) - 1)], 46)
+    assert listed[0] > 5000 and calls[0] < listed[0] / 5
