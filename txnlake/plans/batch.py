@@ -178,12 +178,11 @@ def _stage(
 ) -> dict[str, Version]:
     """Gate all that has landed and publish the window's new rows as pending, with the landings taken."""
     window = _window(spark, root, versions, high)
+    quality_gate(spark, root, window.offending, run_ts)
+    # raw rows only behind the gate
     start = Landing() if options.refresh == "full" else None
     rows = window.rows(read_table(spark, root, "raw_transactions"), start)
-    dim_date = read_table(spark, root, "dim_date", versions)
-    _, days = _together(
-        lambda: quality_gate(spark, root, window.offending, run_ts), lambda: _event_days(rows, dim_date)
-    )
+    days = _event_days(rows, read_table(spark, root, "dim_date", versions))
     new = _unknown(spark, root, rows, days)
     version = versions[FACT].version + 1 if FACT in versions else 1
     mark = {"seen": window.upto, "landed": window.mark.landed, "landed_hour": window.mark.hour, **window.totals}
