@@ -242,3 +242,14 @@ def test_ids_in_state_lie_on_disk_whatever_the_session_says(spark, root, source)
         assert spark.conf.get(bound) == "true"
     finally:
         spark.conf.set(provider, before)
+
+
+def test_a_stream_in_state_mode_decodes_each_message_once(spark, root, source, capsys):
+    send(spark, source, message(), message(amount="2.00"), message(transaction_id="pay-00000002"), "junk", message(currency="ZZZ"))
+    seen = []
+    query = I.ingest(read_events(spark, "json", path=source), root, f"{root}/cp", ONCE, lambda _, counts: seen.append(counts), remember="state")
+    query.awaitTermination()
+    assert seen == [{"attempted": 3, "inserted": 2, "rejected": 2}]
+    capsys.readouterr()
+    query.explain()
+    assert capsys.readouterr().out.count("VariantExpressionEvalUtils.parseJson") == 1
