@@ -336,3 +336,34 @@ def test_a_pair_with_very_many_shared_runs_is_not_counted_extent_by_extent(monke
     monkeypatch.setattr(P, "_extents", kept)
     P.shared_passages(a, b, [(0, len(a) - 1, 0, len(b) - 1)], 46)
     assert listed[0] > 5000 and calls[0] < listed[0] / 5
+
+
+def test_windows_that_share_a_short_phrase_share_too_few_bits():
+    phrase = np.arange(26, dtype=np.uint64)
+    both = []
+    for d in (1, 2):
+        values = np.concatenate([np.arange(1000 * d, 1000 * d + 50, dtype=np.uint64), phrase])
+        both.append(passages.sketch(values, np.full(31, 46), 0, 75, 46))
+    bits = sum(int(x).bit_count() for x in (both[0][0].view(np.uint64) & both[1][0].view(np.uint64)))
+    assert 20 <= bits < max(both[0][1], both[1][1])
+
+
+def test_windows_with_copies_of_a_passage_share_enough_bits():
+    rng = np.random.default_rng(5)
+    least, alike = 46, 0
+    for _ in range(400):
+        core = rng.integers(1, rng.choice([12, 60, 10**9]), rng.integers(46, 120)).astype(np.uint64)
+        copy = core.copy()
+        copy[rng.integers(0, len(copy), rng.integers(0, 12))] = rng.integers(1, 10**9)
+        sides, sets = [], []
+        for passage in (core, copy):
+            around = [rng.integers(1, 10**9, rng.integers(0, 40)).astype(np.uint64) for _ in range(2)]
+            values = np.concatenate([around[0], passage, around[1]])
+            distinct = np.array([len(np.unique(values[i : i + least])) for i in range(len(values) - least + 1)])
+            sides.append(passages.sketch(values, distinct, 0, len(values) - 1, least))
+            sets.append(set(passage.tolist()))
+        if 100 * len(sets[0] & sets[1]) >= 80 * len(sets[0] | sets[1]):
+            alike += 1
+            bits = sum(int(x).bit_count() for x in (sides[0][0].view(np.uint64) & sides[1][0].view(np.uint64)))
+            assert bits >= max(sides[0][1], sides[1][1])
+    assert alike > 50
