@@ -367,3 +367,22 @@ def test_windows_with_copies_of_a_passage_share_enough_bits():
             bits = sum(int(x).bit_count() for x in (sides[0][0].view(np.uint64) & sides[1][0].view(np.uint64)))
             assert bits >= max(sides[0][1], sides[1][1])
     assert alike > 50
+
+
+def test_texts_of_pairs_go_to_a_place_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    table = spark.createDataFrame([(i, " ".join(words(90))) for i in range(48)], "doc_id long, text string")
+    rows = table.collect()
+    shared = words(70)
+    table = spark.createDataFrame([(r.doc_id, " ".join([*r.text.split()[:40], *shared, *r.text.split()[40:]])) for r in rows], "doc_id long, text string")
+    ids = passages.document_table(table, 5).where("block is null").select("node", "doc_id").localCheckpoint()
+    a, b = ids.select(F.col("node").alias("a")), ids.select(F.col("node").alias("b"))
+    at = F.array(F.struct(*[F.lit(x).alias(c) for c, x in (("l1", 0), ("r1", 155), ("l2", 0), ("r2", 155))]))
+    pairs = a.join(b, F.col("a") > F.col("b")).withColumn("intervals", at).localCheckpoint()
+    sent, real = [], passages.with_texts
+    monkeypatch.setattr(passages, "with_texts", lambda docs, request, repeated: sent.append(request.count()) or real(docs, request, repeated))
+    found = passages.verified(table, pairs, ids, False, 5, 46).collect()
+    assert len({(r.a, r.b) for r in found}) == len(found) == 48 * 47 // 2
+    assert {tuple(r)[2:] for r in found} == {(40, 110, 40, 110)}
+    assert sent[0] < 48 * 47 // 4
