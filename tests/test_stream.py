@@ -253,3 +253,34 @@ def test_a_stream_in_state_mode_decodes_each_message_once(spark, root, source, c
     capsys.readouterr()
     query.explain()
     assert capsys.readouterr().out.count("VariantExpressionEvalUtils.parseJson") == 1
+
+
+def test_a_stream_in_state_mode_shuffles_no_whole_rows(spark, root, source, monkeypatch, capsys):
+    staged, real = [], I._staged
+    monkeypatch.setattr(I, "_staged", lambda *args: staged.append(1) or real(*args))
+    send(spark, source, message(), message(amount="2.00"), "junk")
+    query = I.ingest(read_events(spark, "json", path=source), root, f"{root}/cp", ONCE, remember="state")
+    query.awaitTermination()
+    capsys.readouterr()
+    query.explain()
+    exchanges = [x for x in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in x]
+    assert exchanges and not any("merchant" in x or "value#" in x for x in exchanges)
+    # what has landed is decoded to whole rows for no second checkpoint
+    assert staged == [1]
+    run(spark, source, root, checkpoint="other", remember="state")
+    assert staged == [1] and stored(spark, root) == {"pay-00000001": "18.60"}
+    assert T.read_table(spark, root, "rejected_events").count() == 2
+
+
+def test_a_batch_leaves_no_shuffle_files(spark, root, source):
+    import time
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {b for b in blocks.getAllBlocks().mkString(" ").split() if b.startswith("shuffle_")}
+    send(spark, source, *[message(transaction_id=f"pay-{i:08}") for i in range(20)])
+    before = held()
+    run(spark, source, root)
+    end = time.time() + 20
+    while held() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not held() - before and len(stored(spark, root)) == 20
