@@ -255,6 +255,30 @@ def test_a_stream_in_state_mode_decodes_each_message_once(spark, root, source, c
     assert capsys.readouterr().out.count("VariantExpressionEvalUtils.parseJson") == 1
 
 
+@pytest.mark.parametrize("remember", ["table", "state"])
+def test_a_large_batch_lands_slice_by_slice(spark, root, source, monkeypatch, remember):
+    parts, real = [], I.land
+
+    def land(rows, *args):
+        parts.append(len(rows))
+        return real(rows, *args)
+
+    monkeypatch.setattr(I, "land", land)
+    monkeypatch.setattr(I, "SLICE_ROWS", 4)
+    bodies = [message(transaction_id=f"pay-{i % 30:08}", amount=str(100 - i)) for i in range(60)]
+    seen = []
+    for part in ([*bodies[:50], "junk"], [*bodies, *bodies[:3]]):
+        send(spark, source, *part)
+        run(spark, source, root, seen, remember=remember)
+    # of copies in a batch the first by value: "100" before "70", "99" after "69"
+    first = {f"pay-{i:08}": str(min(str(100 - i), str(70 - i)) if i < 20 else 100 - i) + ".00" for i in range(30)}
+    assert stored(spark, root) == first
+    assert seen == [{"attempted": 50, "inserted": 30, "rejected": 1}, {"attempted": 63, "inserted": 0, "rejected": 0}]
+    # the second batch has no new id, so nothing of it is shuffled whole
+    assert parts[0] > 4 and parts[1] == 1
+    assert [(r.landed, r.inserted) for r in L.landing_log(spark, root).orderBy("landed").collect()] == [(1, 30), (2, 0)]
+
+
 def test_a_stream_in_state_mode_shuffles_no_whole_rows(spark, root, source, monkeypatch, capsys):
     staged, real = [], I._staged
     monkeypatch.setattr(I, "_staged", lambda *args: staged.append(1) or real(*args))
