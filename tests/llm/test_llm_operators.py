@@ -386,3 +386,100 @@ def test_texts_of_pairs_go_to_a_place_once(spark, monkeypatch):
     assert len({(r.a, r.b) for r in found}) == len(found) == 48 * 47 // 2
     assert {tuple(r)[2:] for r in found} == {(40, 110, 40, 110)}
     assert sent[0] < 48 * 47 // 4
+
+
+def _plain_passages(a, b, intervals, least):
+    """shared_passages with sets: every extent from the start of a run to the end of a run, longest first."""
+    side = set(zip(b, b[1:])) & set(zip(a, a[1:]))
+    open_a, open_b, out = [x in set(b) for x in a], [x in set(a) for x in b], []
+
+    def extents(values, others, other=0):
+        hit = [i for i, x in enumerate(values) if x in others]
+        cut = lambda i, j: j != i + 1 or (values[i], values[j]) not in side
+        starts = [x for k, x in enumerate(hit) if k == 0 or cut(hit[k - 1], x)]
+        ends = [x for k, x in enumerate(hit) if k == len(hit) - 1 or cut(x, hit[k + 1])]
+        fits = []
+        for s in starts:
+            for e in ends:
+                h = sum(x in others for x in values[s : e + 1])
+                # of values that are missing the first place in the interval counts
+                m = sum(x not in others and x not in values[:i] for i, x in enumerate(values[: e + 1]) if i >= s)
+                if e - s + 1 >= least and h * 100 >= (max(h, other) + m) * 80:
+                    fits.append((s, e))
+        return sorted(fits, key=lambda f: f[0] - f[1])
+
+    def verify(x, y, low, high, listed):
+        p = set(a[x : y + 1])
+        for u, v in listed(b[low : high + 1], p):
+            q = set(b[low + u : low + v + 1])
+            if len(p & q) * 100 >= len(p | q) * 80:
+                out.append((x, y, low + u, low + v))
+                open_a[x : y + 1], open_b[low + u : low + v + 1] = [False] * (y + 1 - x), [False] * (v + 1 - u)
+                return True
+        return False
+
+    hit, back = [[i for i, x in enumerate(o) if x] for o in (open_a, open_b)]
+    if not hit:
+        return out
+    if min(hit[-1] - hit[0], back[-1] - back[0]) + 1 >= least:
+        verify(hit[0], hit[-1], 0, len(b) - 1, lambda *_: [(back[0], back[-1])])
+    for left, right, low, high in sorted(set(intervals)):
+        if any(open_a[left : right + 1]) or any(open_b[low : high + 1]):
+            kept = []
+            for x, y in extents(a[left : right + 1], set(b[low : high + 1])):
+                if not any(f <= x and y <= t for f, t in kept) and verify(left + x, left + y, low, high, lambda v, p: extents(v, p, len(p))):
+                    kept.append((x, y))
+    return out
+
+
+def test_a_text_is_prepared_once_for_all_its_pairs(monkeypatch):
+    from txnlake.llm import passages as P
+
+    rng, n = np.random.default_rng(5), []
+    real = P.last_before
+    monkeypatch.setattr(P, "last_before", lambda values: n.append(1) or real(values))
+    for _ in range(12):
+        one = rng.integers(0, rng.integers(20, 200), 70)
+        own = P.Text(one.astype(np.uint64))
+        for _ in range(4):
+            two = np.concatenate([rng.integers(0, 200, rng.integers(0, 20)), one[rng.integers(0, 20) :], rng.integers(0, 200, 9)])
+            two[rng.integers(0, len(two), rng.integers(0, 12))] = rng.integers(0, 400)
+            cuts = [sorted(rng.integers(0, m, 2).tolist()) for m in (len(one), len(two)) for _ in range(3)]
+            intervals = [(*cuts[k], *cuts[k + 3]) for k in range(3)] + [(0, len(one) - 1, 0, len(two) - 1)]
+            found = P.shared_passages(own, P.Text(two.astype(np.uint64)), intervals, 12)
+            assert found == _plain_passages(one.tolist(), two.tolist(), intervals, 12)
+    assert len(n) == 12 * 5
+
+
+def test_many_pairs_agree_at_once(spark, monkeypatch):
+    from txnlake.llm import passages as P
+
+    rng = np.random.default_rng(3)
+    some = lambda n: [(int(x), int(x + w), int(y), int(y + w), int(f)) for x, y, w, f in rng.integers(0, [60, 60, 90, 4], (n, 4))]
+    rows = [(i, i - 1, some(int(rng.integers(1, 5))), some(int(rng.integers(0, 9)))) for i in range(1, 80)]
+    at = "array<struct<l1:int,r1:int,l2:int,r2:int,fn:int>>"
+    pairs = spark.createDataFrame(rows, f"a long, b long, tries {at}, known {at}").coalesce(1)
+    want = {}
+    for a, b, tries, known in rows:
+        fns = lambda t: {k[4] for k in known if k[4] != t[4] and all(min(t[j + 1], k[j + 1]) - max(t[j], k[j]) + 1 >= 30 for j in (0, 2))}
+        if kept := [t[:4] for t in tries if len(fns(t)) + 1 >= 2]:
+            want[a, b] = kept
+    single = []
+    real = P.supported
+    monkeypatch.setattr(P, "supported", lambda *args: single.append(1) or real(*args))
+
+    class Local:
+        """The rows of pairs, run here, so that calls are counted."""
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return [r for b in run(iter(pairs.toArrow().to_batches())) for r in b.to_pylist()]
+
+    def asked():
+        return {(r["a"], r["b"]): [tuple(t.values()) for t in r["intervals"]] for r in P.agreeing(Local(), 30, 2)}
+
+    assert 0 < len(want) < len(rows) and asked() == want and not single
+    monkeypatch.setattr(P, "COMPARED", 1)
+    assert asked() == want and single
